@@ -174,6 +174,22 @@ STEPS = {
     "alerts": """
         SELECT station, rideable_type, target_day, arg_max(times, i) AS fired
         FROM fold GROUP BY ALL""",
+    "every_slot": """
+        SELECT station, rideable_type, time::DATE AS target_day, time + INTERVAL 15 MINUTE AS due,
+               stock AS p,
+               row_number() OVER (PARTITION BY station, rideable_type, time::DATE ORDER BY time) AS i
+        FROM stock""",
+    "every_fold": """
+        SELECT station, rideable_type, target_day, 0 AS i, 0 AS lim, []::VARCHAR[] AS times
+        FROM (SELECT DISTINCT station, rideable_type, target_day FROM every_slot)
+        UNION ALL
+        SELECT f.station, f.rideable_type, f.target_day, o.i::INTEGER,
+               CASE WHEN o.p < f.lim THEN f.lim - 10 ELSE f.lim END,
+               CASE WHEN o.p < f.lim THEN list_append(f.times, strftime(o.due, '%Y-%m-%d %H:%M:%S'))
+                    ELSE f.times END
+        FROM every_fold f JOIN every_slot o
+          ON o.station = f.station AND o.rideable_type = f.rideable_type
+         AND o.target_day = f.target_day AND o.i = f.i + 1""",
     "reference": "SELECT *, time::DATE AS day FROM features WHERE time::DATE BETWEEN "
     + "DATE '{}' AND DATE '{}'".format(*REFERENCE_DAYS),
     "current": "SELECT *, time::DATE AS day FROM features WHERE time::DATE BETWEEN "
@@ -234,12 +250,18 @@ STEPS = {
         SELECT timestamp, rmse + 1 AS rmse, mae + 1 AS mae, abs_error_max + 1 AS abs_error_max
         FROM performance WHERE timestamp < TIMESTAMP '2024-01-21'""",
     "new_performance": "SELECT * FROM performance WHERE timestamp >= TIMESTAMP '2024-01-15'",
-    "old_lines": """
-        SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_shipdate FROM lineitem
-        WHERE l_linestatus = 'F'""",
-    "new_lines": """
-        SELECT l_orderkey, l_linenumber, l_quantity + 100 AS l_quantity,
-               l_discount + 1 AS l_discount, l_shipdate FROM lineitem""",
+    "old_orders": """
+        SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'""",
+    "new_orders": """
+        SELECT o_orderkey, 'N' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders""",
+    "arriving": """
+        SELECT started_at AS time, start_station_name AS station, rideable_type, -1 AS flow FROM complete
+        UNION ALL
+        SELECT ended_at, end_station_name, rideable_type, 1 FROM complete""",
+    "arriving_net": """
+        SELECT time_bucket(INTERVAL 15 MINUTE, time) AS time, station, rideable_type,
+               sum(flow)::BIGINT AS net_flow
+        FROM arriving GROUP BY ALL""",
     "trend": """
         SELECT time, station, rideable_type, stock, (row_number() OVER w - 1) % 96 AS phase,
                CASE WHEN lag(1, 48) OVER w IS NOT NULL AND lead(1, 48) OVER w IS NOT NULL THEN
@@ -271,7 +293,7 @@ def sql(final: str) -> str:
 
     visit(final)
     steps = ",\n".join(f"{n} AS ({STEPS[n]})" for n in needed)
-    recursive = "RECURSIVE " if "fold" in needed else ""
+    recursive = "RECURSIVE " if any(n.endswith("fold") for n in needed) else ""
     return f"WITH {recursive}{steps}\n{final}" if needed else final
 
 
@@ -334,7 +356,6 @@ PERFORMANCE = (
     f"{rounded('abs_error_max')} AS abs_error_max"
 )
 DRIFT = f"timestamp, column_name, {rounded('drift_score')} AS drift_score, is_drift"
-LINES = "l_orderkey, l_linenumber, l_quantity, round(l_discount, 6) AS l_discount, l_shipdate"
 
 # One valid request per key and one for each way to be wrong
 REQUEST_ROWS = """
@@ -511,18 +532,16 @@ ORACLES = {
                  coalesce(o.mae, n.mae) AS mae,
                  coalesce(o.abs_error_max, n.abs_error_max) AS abs_error_max
           FROM old_performance o FULL JOIN new_performance n ON o.timestamp = n.timestamp)""",
-    "upsert_lines_keep_first": f"""
-        SELECT {LINES} FROM (
-          SELECT * FROM old_lines
+    "upsert_orders_keep_first": """
+        SELECT o_orderkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice FROM (
+          SELECT * FROM old_orders
           UNION ALL
-          SELECT n.* FROM new_lines n ANTI JOIN old_lines o
-            ON o.l_orderkey = n.l_orderkey AND o.l_linenumber = n.l_linenumber)""",
-    "upsert_lines_partial": f"""
-        SELECT {LINES} FROM (
-          SELECT n.l_orderkey, n.l_linenumber, n.l_quantity,
-                 coalesce(o.l_discount, n.l_discount) AS l_discount, n.l_shipdate
-          FROM new_lines n LEFT JOIN old_lines o
-            ON o.l_orderkey = n.l_orderkey AND o.l_linenumber = n.l_linenumber)""",
+          SELECT * FROM new_orders
+          WHERE o_orderkey NOT IN (SELECT o_orderkey FROM old_orders))""",
+    "upsert_orders_partial": """
+        SELECT o_orderkey, coalesce(n.o_orderstatus, o.o_orderstatus) AS o_orderstatus,
+               round(coalesce(o.o_totalprice, n.o_totalprice), 6) AS o_totalprice
+        FROM old_orders o FULL JOIN new_orders n USING (o_orderkey)""",
     "dash_drift": f"""
         SELECT timestamp AS time, {rounded('drift_score')} AS drift_score, column_name FROM drift
         WHERE column_name = 'stock'""",
@@ -531,6 +550,19 @@ ORACLES = {
     "day_series": """
         SELECT time, rideable_type, stock FROM stock_all
         WHERE time::DATE = DATE '2024-01-04' AND station = 'view'""",
+    # windows that end before the last event less the delay
+    "stream_net_flow": """
+        SELECT * FROM arriving_net
+        WHERE time + INTERVAL 15 MINUTE <= (SELECT max(time) - INTERVAL 1 HOUR FROM arriving)""",
+    "stream_daily_stock": """
+        SELECT time::DATE AS day, time, station, rideable_type,
+               (10 + sum(net_flow) OVER (PARTITION BY station, rideable_type, time::DATE
+                                         ORDER BY time))::BIGINT AS stock
+        FROM arriving_net""",
+    "stream_alerts": """
+        SELECT station, rideable_type, target_day AS day, unnest(fired) AS alert
+        FROM (SELECT station, rideable_type, target_day, arg_max(times, i) AS fired
+              FROM every_fold GROUP BY ALL)""",
     "profile_lines": _profile(
         "lineitem",
         {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",

@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from checks.oracles import CURRENT_DAYS, EVENT_TYPES, LINE_NUMBERS, REFERENCE_DAYS, TYPES
 from flowtide.constants import NUMERICAL_FEATURES, TARGET
@@ -27,26 +28,48 @@ from flowtide.operators import (
     upsert,
 )
 from flowtide.plans import elt, training
-from flowtide.session import materialize, shared_path
+from flowtide.session import materialize, shared_path, write_table
 from flowtide.sources import trip_files
 from flowtide.sources.events import read_events, trips_from_events
+from flowtide.streaming import alerts as alert_stream
+from flowtide.streaming import daily_stock
+from flowtide.streaming import net_flow as net_flow_stream
 
-_tables: dict[tuple[str, str, str], DataFrame] = {}
+_paths: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
-def _table(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def _path(spark: SparkSession, folder: str, name: str, build) -> tuple[str, StructType]:
     key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _tables:
-        _tables[key] = materialize(build(), name)
-    return _tables[key]
+    if key not in _paths:
+        table = build()
+        _paths[key] = write_table(table, name), table.schema
+    return _paths[key]
+
+
+def _table(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
+    path, schema = _path(spark, folder, name, build)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _stream(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
+    path, schema = _path(spark, folder, name, build)
+    return spark.readStream.schema(schema).parquet(path)
+
+
+def _build_trips(spark, folder):
+    return lambda: trips_from_events(read_events(spark, folder))
+
+
+def _build_stock(spark, folder):
+    return lambda: elt.build_stock(trips(spark, folder))
 
 
 def trips(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "trips", lambda: trips_from_events(read_events(spark, folder)))
+    return _table(spark, folder, "trips", _build_trips(spark, folder))
 
 
 def stock(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "stock", lambda: elt.build_stock(trips(spark, folder)))
+    return _table(spark, folder, "stock", _build_stock(spark, folder))
 
 
 def stock_all(spark: SparkSession, folder: str) -> DataFrame:
@@ -450,6 +473,10 @@ def _drift_sides(spark, folder):
     return _between(table, REFERENCE_DAYS), _between(table, CURRENT_DAYS)
 
 
+def _value_counts(spark, folder):
+    return materialize(drift.value_counts_by_day(*_drift_sides(spark, folder)), "value-counts")
+
+
 def daily_features(spark, folder):
     return rounded(drift.daily_features(feature_rows(spark, folder)), "mean_stock")
 
@@ -460,11 +487,13 @@ def month_days(spark, folder):
 
 
 def drift_numeric(spark, folder):
-    return rounded(drift.numeric_drift(*_drift_sides(spark, folder)), "drift_score")
+    counts = _value_counts(spark, folder)
+    return rounded(drift.numeric_drift(counts), "drift_score")
 
 
 def drift_categorical(spark, folder):
-    return rounded(drift.categorical_drift(*_drift_sides(spark, folder)), "drift_score")
+    counts = _value_counts(spark, folder)
+    return rounded(drift.categorical_drift(counts), "drift_score")
 
 
 def column_drift(spark, folder):
@@ -504,28 +533,24 @@ def upsert_partial(spark, folder):
     return rounded(merged, "rmse", "mae", "abs_error_max")
 
 
-LINE_KEYS = ["l_orderkey", "l_linenumber"]
-
-
-def _old_and_new_lines(spark, folder):
-    lines = line_items(spark, folder)
-    columns = [*LINE_KEYS, "l_quantity", "l_discount", "l_shipdate"]
-    new = lines.select(
-        *LINE_KEYS,
-        (F.col("l_quantity") + 100).alias("l_quantity"),
-        (F.col("l_discount") + 1).alias("l_discount"),
-        "l_shipdate",
+def _old_and_new_orders(spark, folder):
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    columns = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    new = orders.select(
+        "o_orderkey", F.lit("N").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice")
     )
-    return lines.where(F.col("l_linestatus") == "F").select(*columns), new
+    return orders.where(F.col("o_orderstatus") == "F").select(*columns), new
 
 
-def upsert_lines_keep_first(spark, folder):
-    return rounded(upsert.upsert_keep_first(*_old_and_new_lines(spark, folder), LINE_KEYS), "l_discount")
+def upsert_orders_keep_first(spark, folder):
+    merged = upsert.upsert_keep_first(*_old_and_new_orders(spark, folder), ["o_orderkey"])
+    return rounded(merged, "o_totalprice")
 
 
-def upsert_lines_partial(spark, folder):
-    old, new = _old_and_new_lines(spark, folder)
-    return rounded(upsert.upsert_partial(old, new, LINE_KEYS, ["l_quantity"]), "l_discount")
+def upsert_orders_partial(spark, folder):
+    old, new = _old_and_new_orders(spark, folder)
+    merged = upsert.upsert_partial(old, new, ["o_orderkey"], ["o_orderstatus"])
+    return rounded(merged, "o_totalprice")
 
 
 def dash_drift(spark, folder):
@@ -541,6 +566,31 @@ def day_series(spark, folder):
     return drift.day_series(stock_all(spark, folder), "2024-01-04", "view")
 
 
+# --- streams ----------------------------------------------------------------------------
+
+
+def stream_net_flow(spark, folder):
+    arriving = clean.preprocess(_stream(spark, folder, "trips", _build_trips(spark, folder)))
+    windows = net_flow_stream.net_flow_stream(stations.station_flows(arriving, top_n=None), "1 hour")
+    return net_flow_stream.run_to_table(windows, "stream-net-flow")
+
+
+def stream_daily_stock(spark, folder):
+    arriving = clean.preprocess(_stream(spark, folder, "trips", _build_trips(spark, folder)))
+    path = shared_path(spark, "stream-stock")
+    query = daily_stock.start_daily_stock(
+        stations.station_flows(arriving, top_n=None), path, f"{path}/progress"
+    )
+    query.awaitTermination()
+    return daily_stock.read_daily_stock(spark, path)
+
+
+def stream_alerts(spark, folder):
+    arriving = _stream(spark, folder, "stock", _build_stock(spark, folder))
+    alerts = alert_stream.alert_stream(arriving.withColumnRenamed("stock", "prediction"))
+    return net_flow_stream.run_to_table(alerts, "stream-alerts")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -556,8 +606,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         var_rmse_by_series, gbt_fit_score, gbt_importance, validate_requests, parse_requests,
         score_slice, score_error, stockout_alerts, daily_features, month_days, drift_numeric,
         drift_categorical, column_drift, drift_summary, daily_performance, upsert_keep_first,
-        upsert_partial, upsert_lines_keep_first, upsert_lines_partial, dash_drift,
-        dash_performance, day_series,
+        upsert_partial, upsert_orders_keep_first, upsert_orders_partial, dash_drift,
+        dash_performance, day_series, stream_net_flow, stream_daily_stock, stream_alerts,
     )
 } | {
     "preprocess": complete,

@@ -15,11 +15,19 @@ def parse_timestamp(text: Column | str, strict: bool = True) -> Column:
     return column.cast("timestamp_ntz") if strict else column.try_cast("timestamp_ntz")
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def without_zone(instant: Column | str) -> Column:
     """The UTC wall clock of a zoned timestamp, whatever the session zone is."""
-    instant = F.col(instant) if isinstance(instant, str) else instant
-    wall_clock = instant.cast("timestamp_ntz")
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), wall_clock)
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch())
+
+
+def as_utc_instant(time: Column | str) -> Column:
+    """Inverse of :func:`without_zone`; stream watermarks need a zoned timestamp."""
+    time = F.col(time) if isinstance(time, str) else time
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), time))
 
 
 def minutes(n: int) -> Column:

@@ -19,6 +19,7 @@ from flowtide.constants import (
 from flowtide.functions.calendar import day_of_scaled_date
 from flowtide.functions.statistics import mae, max_abs_error, rmse
 from flowtide.operators.bucketed import running_over_buckets
+from flowtide.session import materialize
 
 # A reference column narrower than this counts as this wide.
 SMALLEST_SPREAD = 0.001
@@ -49,34 +50,55 @@ def month_days(first_days: DataFrame, column: str = "month") -> DataFrame:
     )
 
 
-def _value_counts(df: DataFrame, columns: Sequence[str], kind: str, by: Sequence[str] = ()) -> DataFrame:
-    """Counts per (by, column, value), combined before the shuffle."""
-    long = df.select(*by, *[F.col(c).cast(kind).alias(c) for c in columns]).unpivot(
-        list(by), list(columns), "column_name", "value"
+def value_counts_by_day(
+    reference: DataFrame,
+    current: DataFrame,
+    numerical: Sequence[str] = NUMERICAL_FEATURES,
+    categorical: Sequence[str] = CATEGORICAL_FEATURES,
+) -> DataFrame:
+    """Rows per (day, column, value); the reference rows have no day.
+
+    One pass over either side, combined before the shuffle. ``value`` is a number
+    or a ``label``, by the kind of the column.
+    """
+    number, label = F.lit(None).cast("double"), F.lit(None).cast("string")
+    cells = [
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"), label.alias("label"))
+        for c in numerical
+    ] + [
+        F.struct(F.lit(c).alias("column_name"), number.alias("value"), F.col(c).alias("label"))
+        for c in categorical
+    ]
+
+    def cells_of(table: DataFrame, day) -> DataFrame:
+        return table.select(day, F.explode(F.array(*cells)).alias("cell")).select("day", "cell.*")
+
+    both = cells_of(reference, F.lit(None).cast("date").alias("day")).unionByName(
+        cells_of(current, F.col("day"))
     )
-    long = long.where(F.col("value").isNotNull())
-    return long.groupBy(*by, "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    known = both.where(F.col("value").isNotNull() | F.col("label").isNotNull())
+    return known.groupBy("day", "column_name", "value", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _paired_counts(
-    reference: DataFrame, current: DataFrame, columns: Sequence[str], kind: str
-) -> DataFrame:
+def _paired(counts: DataFrame, value: str) -> DataFrame:
     """Counts of every value in the reference and in each day, side by side.
 
     The reference counts go to every day, as in each day's own comparison. A value
     of both sides is one row.
     """
-    cur = _value_counts(current, columns, kind, ["day"])
+    counts = counts.where(F.col(value).isNotNull())
     # the days of a period: a few hundred at most, whatever the number of rows
-    days = current.agg(F.array_sort(F.collect_set("day"))).scalar()
-    ref = _value_counts(reference, columns, kind).select(
-        F.explode(days).alias("day"), "column_name", "value", "n"
-    )
+    days = counts.agg(F.array_sort(F.collect_set("day"))).scalar()
     zero = F.lit(0).cast("bigint")
-    both = ref.select("day", "column_name", "value", F.col("n").alias("n_ref"), zero.alias("n_cur")).unionByName(
-        cur.select("day", "column_name", "value", zero.alias("n_ref"), F.col("n").alias("n_cur"))
+    on_reference = F.col("day").isNull()
+    sides = counts.select(
+        F.explode(F.when(on_reference, days).otherwise(F.array("day"))).alias("day"),
+        "column_name",
+        value,
+        F.when(on_reference, F.col("n")).otherwise(zero).alias("n_ref"),
+        F.when(on_reference, zero).otherwise(F.col("n")).alias("n_cur"),
     )
-    return both.groupBy("day", "column_name", "value").agg(
+    return sides.groupBy("day", "column_name", value).agg(
         F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")
     )
 
@@ -87,28 +109,31 @@ def _totals(paired: DataFrame) -> DataFrame:
     )
 
 
-def _deviations(reference: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Population deviation per column, one pass; never below the smallest spread."""
-    one_row = reference.agg(*[F.stddev_pop(c).alias(c) for c in columns])
-    return one_row.unpivot([], list(columns), "column_name", "std").select(
-        "column_name", F.greatest("std", F.lit(SMALLEST_SPREAD)).alias("std")
+def _deviations(counts: DataFrame) -> DataFrame:
+    """Population deviation of each reference column, never below the smallest spread."""
+    reference = counts.where(F.col("day").isNull() & F.col("value").isNotNull())
+    means = reference.groupBy("column_name").agg(
+        F.sum("n").alias("rows"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean")
+    )
+    square = F.col("n") * F.pow(F.col("value") - F.col("mean"), 2)
+    return (
+        reference.join(means, "column_name")
+        .groupBy("column_name")
+        .agg(F.sqrt(F.sum(square) / F.max("rows")).alias("std"))
+        .select("column_name", F.greatest("std", F.lit(SMALLEST_SPREAD)).alias("std"))
     )
 
 
-def numeric_drift(
-    reference: DataFrame,
-    current: DataFrame,
-    columns: Sequence[str] = NUMERICAL_FEATURES,
-    buckets_per_deviation: int = 16,
-) -> DataFrame:
+def numeric_drift(counts: DataFrame, buckets_per_deviation: int = 16) -> DataFrame:
     """First Wasserstein distance per day and column, in reference deviations.
 
-    The distance is the area between both cumulative shares over the values. The
-    cumulative counts go over buckets of values, so a column with very many
-    distinct values is not sorted in one task.
+    ``counts`` come from :func:`value_counts_by_day`. The distance is the area
+    between both cumulative shares over the values. The cumulative counts go over
+    buckets of values, so a column with very many distinct values is not sorted
+    in one task.
     """
-    paired = _paired_counts(reference, current, columns, "double")
-    scaled = paired.join(_deviations(reference, columns), "column_name").select(
+    paired = _paired(counts, "value")
+    scaled = paired.join(_deviations(counts), "column_name").select(
         "day",
         "column_name",
         "value",
@@ -139,11 +164,9 @@ def numeric_drift(
     )
 
 
-def categorical_drift(
-    reference: DataFrame, current: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES
-) -> DataFrame:
+def categorical_drift(counts: DataFrame) -> DataFrame:
     """Jensen-Shannon distance (natural logarithm) of the shares per day and column."""
-    paired = _paired_counts(reference, current, columns, "string")
+    paired = _paired(counts, "label")
     p = F.col("n_ref") / F.col("total_ref")
     q = F.col("n_cur") / F.col("total_cur")
     middle = (p + q) / F.lit(2.0)
@@ -166,10 +189,14 @@ def column_drift(
     categorical: Sequence[str] = CATEGORICAL_FEATURES,
     threshold: float = COLUMN_DRIFT_THRESHOLD,
 ) -> DataFrame:
-    """Drift score and flag per day and column; ``current`` has a ``day`` column."""
-    scores = numeric_drift(reference, current, numerical).unionByName(
-        categorical_drift(reference, current, categorical)
+    """Drift score and flag per day and column; ``current`` has a ``day`` column.
+
+    The value counts are written once; both kinds of scores read them.
+    """
+    counts = materialize(
+        value_counts_by_day(reference, current, numerical, categorical), "value-counts"
     )
+    scores = numeric_drift(counts).unionByName(categorical_drift(counts))
     return scores.select(
         F.col("day").cast("timestamp_ntz").alias("timestamp"),
         "column_name",

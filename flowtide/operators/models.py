@@ -60,7 +60,6 @@ def gbt_pipeline(
         seed=seed,
         maxBins=max_bins,
         maxMemoryInMB=1024,
-        cacheNodeIds=True,
         checkpointInterval=10,
     )
     return Pipeline(stages=[indexer, assembler, booster])

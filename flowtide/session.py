@@ -49,12 +49,18 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/flowtide/{label}-{uuid.uuid4().hex}"
 
 
+def write_table(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> str:
+    """Write ``df`` as a table in the shared folder. Returns its path."""
+    path = shared_path(df.sparkSession, label)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return path
+
+
 def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     For a result that several later passes read: it is computed once, keeps its
     columns prunable, and a lost executor costs a re-read and not a recompute.
     """
-    path = shared_path(df.sparkSession, label)
-    df.write.partitionBy(*partition_by).parquet(path)
+    path = write_table(df, label, partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -69,4 +69,6 @@ def append_trips(trips: DataFrame, path: str) -> None:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Header CSV part files, for tools that read no parquet."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    writer = df.write.mode("overwrite").option("header", True)
+    # the default format cuts timestamps to milliseconds
+    writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
