@@ -93,10 +93,12 @@ def histogram(
     present = df.where(value.isNotNull() & ~F.isnan(value)).select(value.alias("value"))
     span = present.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     if bins is not None:
+        # equal values get a range of one around them
+        pad = F.when(F.col("lo") == F.col("hi"), F.lit(0.5)).otherwise(F.lit(0.0))
+        span = span.select((F.col("lo") - pad).alias("lo"), (F.col("hi") + pad).alias("hi"))
         step = (F.col("s.hi") - F.col("s.lo")) / F.lit(float(bins))
         lower, last = F.col("s.lo"), F.lit(bins - 1)
-        # a zero step means that all values are equal: they share the first bin
-        raw = F.least(F.floor(F.coalesce(F.try_divide(F.col("value") - lower, step), F.lit(0.0))), last)
+        raw = F.least(F.floor((F.col("value") - lower) / step), last)
         # rounding may put a value next to an edge one bin off; the edges decide
         raw = (
             F.when(F.col("value") < lower + raw * step, raw - 1)
