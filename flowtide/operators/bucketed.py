@@ -28,25 +28,25 @@ def running_over_buckets(
     output name to the column whose value in the next row is wanted. ``order``
     must be unique within a group.
     """
-    keys = [*group, bucket]
-    lead_columns = list(dict.fromkeys(leads.values()))
-    head = list(dict.fromkeys([*order, *lead_columns]))
-    summary = df.groupBy(*keys).agg(
+    # the keys as one struct: a NULL key is a group like any other, in the
+    # aggregate, in the join and in the window, and one shuffle serves all three
+    keyed = df.select("*", F.struct(*group, bucket).alias("_key"))
+    head = list(dict.fromkeys([*order, *leads.values()]))
+    summary = keyed.groupBy("_key").agg(
         *[F.sum(value).alias(f"_sum_{name}") for name, value in sums.items()],
         F.min(F.struct(*head)).alias("_first"),
     )
-    along = W.partitionBy(*group).orderBy(bucket)
+    along = W.partitionBy(*[F.col("_key")[g] for g in group]).orderBy(F.col("_key")[bucket])
     before = along.rowsBetween(W.unboundedPreceding, -1)
     summary = summary.select(
-        *keys,
+        "_key",
         *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in sums],
         F.lead("_first").over(along).alias("_after"),
     )
-    within = W.partitionBy(*keys).orderBy(*order)
+    within = W.partitionBy("_key").orderBy(*order)
     upto = within.rowsBetween(W.unboundedPreceding, W.currentRow)
     last = F.lead(F.lit(1)).over(within).isNull()
-    out = df.join(summary, keys)
-    return out.select(
+    return keyed.join(summary, "_key").select(
         *df.columns,
         *[(F.col(f"_before_{n}") + F.sum(value).over(upto)).alias(n) for n, value in sums.items()],
         *[

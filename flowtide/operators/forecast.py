@@ -1,4 +1,8 @@
-"""Naive forecast, seasonal decomposition, vector autoregression."""
+"""Naive forecast, seasonal decomposition, vector autoregression.
+
+Most functions pass over the series more than once (for its span, for a fit), so
+give them a stored series, as the tables module writes it.
+"""
 
 import math
 from collections.abc import Sequence
@@ -72,28 +76,22 @@ def seasonal_decompose(stock: DataFrame, period: int = SEASON_PERIOD) -> DataFra
     else:
         total = F.sum("stock").over(along.rowsBetween(-half, half))
     complete = F.lag(F.lit(1), half).over(along).isNotNull() & F.lead(F.lit(1), half).over(along).isNotNull()
+    position = F.row_number().over(along) - 1
     trended = stock.select(
         "time",
         *SERIES,
         "stock",
         F.when(complete, total / F.lit(float(period))).alias("trend"),
-        ((F.row_number().over(along) - 1) % period).alias("phase"),
-    )
-    phase_means = trended.groupBy(*SERIES, "phase").agg(
-        F.avg(F.col("stock") - F.col("trend")).alias("phase_mean")
-    )
-    seasonal = phase_means.select(
-        *SERIES,
-        "phase",
-        (F.col("phase_mean") - F.avg("phase_mean").over(W.partitionBy(*SERIES))).alias("seasonal"),
+        position.alias("position"),
+        (position % period).alias("phase"),
     )
-    return trended.join(seasonal, [*SERIES, "phase"]).select(
-        "time",
-        *SERIES,
-        "stock",
-        "trend",
-        "seasonal",
-        (F.col("stock") - F.col("trend") - F.col("seasonal")).alias("residual"),
+    # windows by series and phase keep the rows where they are; a join would not
+    left = F.avg(F.col("stock") - F.col("trend")).over(W.partitionBy(*SERIES, "phase"))
+    phased = trended.select("*", left.alias("phase_mean"))
+    once = F.when(F.col("position") < period, F.col("phase_mean"))
+    seasonal = F.col("phase_mean") - F.avg(once).over(W.partitionBy(*SERIES))
+    return phased.select("time", *SERIES, "stock", "trend", seasonal.alias("seasonal")).select(
+        "*", (F.col("stock") - F.col("trend") - F.col("seasonal")).alias("residual")
     )
 
 

@@ -26,7 +26,8 @@ from flowtide.constants import (
     SEED,
     TARGET,
 )
-from flowtide.session import shared_folder
+from flowtide.operators.split import ordered_folds
+from flowtide.session import materialize, shared_folder
 
 
 def gbt_pipeline(
@@ -121,8 +122,11 @@ def random_search(
 ) -> CrossValidatorModel:
     """Best of ``draws`` random settings by mean squared error over ``folds`` folds.
 
-    Rounds and depths are drawn below their upper bound, rates up to it.
+    The folds are contiguous blocks of rows in time order. Rounds and depths are
+    drawn below their upper bound, rates up to it. ``features`` has its ``time``.
     """
+    stored = materialize(features, "search")
+    blocks = materialize(ordered_folds(stored, folds), "folds")
     pipeline = gbt_pipeline(seed=seed, inputs=inputs)
     booster = pipeline.getStages()[-1]
     draw = random.Random(seed)
@@ -142,7 +146,8 @@ def random_search(
         estimatorParamMaps=settings,
         evaluator=evaluator,
         numFolds=folds,
+        foldCol="fold",
         parallelism=parallelism,
         seed=seed,
     )
-    return search.fit(features)
+    return search.fit(blocks)

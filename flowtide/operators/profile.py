@@ -61,18 +61,16 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def unique_check(df: DataFrame, column: str) -> DataFrame:
-    """One row: are the values of ``column`` unique?
+    """One row: is every row's value of ``column`` its own?
 
     Counted by value first, with map-side combine, so that neither a repeated
     value nor the set of all values meets in one task.
     """
-    per_value = df.where(F.col(column).isNotNull()).groupBy(column)
-    counts = per_value.agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.agg(F.count(F.lit(1)).alias("n_distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_values"))
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    return totals.select(
-        rows.alias("n_rows"), "n_distinct", (F.col("n_distinct") == rows).alias("is_unique")
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    totals = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(column).alias("n_distinct")
     )
+    return totals.select("*", (F.col("n_distinct") == F.col("n_rows")).alias("is_unique"))
 
 
 def histogram(
@@ -117,8 +115,9 @@ def histogram(
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    edges = span.where("lo IS NOT NULL").select(F.struct("lo", "hi").alias("s"))
-    edges = edges.select("s", F.explode(numbers).alias("bin")).select(
+    # the bins come from the same scalar, which is computed once
+    one_row = df.sparkSession.range(1).select(bounds.alias("s")).where("s.lo IS NOT NULL")
+    edges = one_row.select("s", F.explode(numbers).alias("bin")).select(
         "bin",
         (lower + F.col("bin") * step).alias("lower_edge"),
         (lower + (F.col("bin") + 1) * step).alias("upper_edge"),
@@ -127,17 +126,21 @@ def histogram(
 
 
 def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, in one pass over the table."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    one_row = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("column_a"),
-                F.lit(b).alias("column_b"),
-                F.col(f"{a}__{b}").alias("correlation"),
-            )
-            for a, b in pairs
-        ]
-    )
-    return one_row.select(F.explode(entries).alias("e")).select("e.*")
+    """Pearson correlation of every pair of columns, in one pass over the table.
+
+    A row takes part in the pairs for which it has both values.
+    """
+    pairs = [
+        F.struct(
+            F.lit(a).alias("column_a"),
+            F.lit(b).alias("column_b"),
+            F.col(a).cast("double").alias("x"),
+            F.col(b).cast("double").alias("y"),
+        )
+        for i, a in enumerate(columns)
+        for b in columns[:i]
+    ]
+    # rows per pair and not one aggregate per pair: few groups, all combined before
+    # the shuffle, and code that does not grow with the square of the columns
+    rows = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+    return rows.groupBy("column_a", "column_b").agg(F.corr("x", "y").alias("correlation"))

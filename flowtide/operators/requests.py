@@ -87,12 +87,22 @@ def score_slice(
 
     ``requests`` are valid ones with ``target_day``; equal requests share their
     rows. A lag reaches back at most two hours before the day and is NULL where
-    the history starts. The history is keyed by day, so requests meet it in a
-    plain equi-join of 96 rows per key, with no range condition.
+    the history starts. The history is keyed by day (its ``day`` column, if it has
+    one), so requests meet it in plain equi-joins, with no range condition.
     """
+    wanted = requests.select(*SERIES, "target_day").distinct()
+    # only the wanted days and the evenings before them are sorted; where the
+    # history is stored by day, the others are not even read
+    needed = wanted.select(
+        *SERIES, F.explode(F.array("target_day", F.date_sub("target_day", 1))).alias("day")
+    ).distinct()
+    stored_day = F.col("day") if "day" in history.columns else F.to_date("time")
+    near = history.select("time", *SERIES, "stock", stored_day.alias("day")).join(
+        needed, [*SERIES, "day"], "left_semi"
+    )
     along = W.partitionBy(*SERIES).orderBy("time")
     earliest = floor_day("time") - F.expr(f"INTERVAL {LOOKBACK_HOURS} HOURS")
-    lagged = history.select(
+    lagged = near.select(
         "time",
         *SERIES,
         "stock",
@@ -102,9 +112,8 @@ def score_slice(
             )
             for k in range(1, lags + 1)
         ],
-        F.to_date("time").alias("target_day"),
+        F.col("day").alias("target_day"),
     )
-    wanted = requests.select(*SERIES, "target_day").distinct()
     rows = lagged.join(wanted, [*SERIES, "target_day"], "left_semi")
     inputs = [c for c in MODEL_INPUTS if not c.startswith("lag_")]
     return calendar_features(rows, rush).select(

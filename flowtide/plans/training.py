@@ -78,7 +78,8 @@ def fit_and_evaluate(
     """
     if train_fraction is None:
         return fit_gbt(features, **options), None
-    split = materialize(ordered_split(features, train_fraction), "split", ("is_train",))
+    stored = materialize(features, "features")
+    split = materialize(ordered_split(stored, train_fraction), "split", ("is_train",))
     model = fit_gbt(split.where("is_train"), **options)
     return model, score(model, split.where(~F.col("is_train")).drop("is_train"))
 

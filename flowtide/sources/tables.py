@@ -27,9 +27,11 @@ def write_stock(stock: DataFrame, path: str) -> None:
     dated.repartition("day").write.mode("overwrite").partitionBy("day").parquet(path)
 
 
-def read_stock(spark: SparkSession, path: str) -> DataFrame:
+def read_stock(spark: SparkSession, path: str, with_day: bool = False) -> DataFrame:
+    """The stored series; ``with_day`` keeps the folder's day, for joins to prune by."""
     schema = T.StructType([*STOCK, T.StructField("day", T.DateType())])
-    return spark.read.schema(schema).parquet(path).select(*STOCK.names)
+    stored = spark.read.schema(schema).parquet(path)
+    return stored if with_day else stored.select(*STOCK.names)
 
 
 def write_wide_csv(stock: DataFrame, path: str, names: list[str] | None = None) -> None:

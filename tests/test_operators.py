@@ -62,6 +62,15 @@ def test_events_pair_up_within_a_hot_user(spark):
         assert (t.start_station_name, t.end_station_name) == (f"e{2 * i % 3}", f"e{(2 * i + 1) % 3}")
 
 
+def test_a_null_group_is_a_group(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 5), (None, 30)], "g string, t int")
+    df = df.withColumn("b", F.floor(F.col("t") / 10))
+    got = running_over_buckets(df, ["g"], "b", ["t"], {"total": F.col("t")}, {"next": "t"})
+    assert {(r.g, r.t, r.total, r.next) for r in got.collect()} == {
+        (None, 1, 1, 2), (None, 2, 3, 30), (None, 30, 33, None), ("a", 5, 5, None),
+    }
+
+
 # --- split ------------------------------------------------------------------------
 
 
@@ -76,6 +85,14 @@ def test_split_equals_sorting_all_rows(spark, fraction):
     assert split.test_rows(stock, fraction).count() == len(rows) - cut
 
 
+@pytest.mark.parametrize("folds", [2, 5, 7])
+def test_folds_are_contiguous_blocks(spark, folds):
+    stock = stock_frame(spark, {("a", "x"): walk(1, 131), ("b", "x"): walk(2, 131), ("b", "y"): walk(3, 97)})
+    rows = sorted(tuple(r) for r in split.ordered_folds(stock, folds).collect())
+    blocks = np.array_split(np.arange(len(rows)), folds)
+    assert [r[-1] for r in rows] == [i for i, block in enumerate(blocks) for _ in block]
+
+
 # --- forecasts --------------------------------------------------------------------
 
 
