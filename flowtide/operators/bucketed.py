@@ -1,9 +1,10 @@
 """Running totals over groups that may be far too large for one task.
 
 A plain window sorts a whole group in one task. Here every group is cut along its
-sort order into buckets. Each bucket is summarised by a normal (map-side
-combined) aggregate, the small summaries give every bucket what came before it
-and what comes after it, and the window then only ever holds one bucket.
+sort order into buckets, and the window over the rows only ever holds one bucket.
+The first row of each bucket carries the bucket's totals; among these rows, far
+fewer and narrow, a second window finds what came before a bucket and what comes
+after it.
 """
 
 from collections.abc import Sequence
@@ -28,29 +29,40 @@ def running_over_buckets(
     output name to the column whose value in the next row is wanted. ``order``
     must be unique within a group.
     """
-    # the keys as one struct: a NULL key is a group like any other, in the
-    # aggregate, in the join and in the window, and one shuffle serves all three
-    keyed = df.select("*", F.struct(*group, bucket).alias("_key"))
+    # the keys as one struct: a NULL key is a group like any other, in the window
+    # and in the join, and one shuffle of the rows serves both sides of the join
+    keys = [*group, bucket]
+    rest = [c for c in df.columns if c not in keys]
+    keyed = df.select(F.struct(*keys).alias("_key"), *rest)
+    within = W.partitionBy("_key").orderBy(*order)
+    upto = within.rowsBetween(W.unboundedPreceding, W.currentRow)
     head = list(dict.fromkeys([*order, *leads.values()]))
-    summary = keyed.groupBy("_key").agg(
-        *[F.sum(value).alias(f"_sum_{name}") for name, value in sums.items()],
-        F.min(F.struct(*head)).alias("_first"),
+    firsts = keyed.select(
+        "_key",
+        *head,
+        F.row_number().over(within).alias("_rank"),
+        *[F.sum(v).over(W.partitionBy("_key")).alias(f"_sum_{n}") for n, v in sums.items()],
+    ).where(F.col("_rank") == 1)
+    firsts = firsts.select(
+        "_key", F.struct(*head).alias("_first"), *[f"_sum_{n}" for n in sums]
     )
     along = W.partitionBy(*[F.col("_key")[g] for g in group]).orderBy(F.col("_key")[bucket])
     before = along.rowsBetween(W.unboundedPreceding, -1)
-    summary = summary.select(
+    around = firsts.select(
         "_key",
         *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in sums],
         F.lead("_first").over(along).alias("_after"),
     )
-    within = W.partitionBy("_key").orderBy(*order)
-    upto = within.rowsBetween(W.unboundedPreceding, W.currentRow)
-    last = F.lead(F.lit(1)).over(within).isNull()
-    return keyed.join(summary, "_key").select(
-        *df.columns,
-        *[(F.col(f"_before_{n}") + F.sum(value).over(upto)).alias(n) for n, value in sums.items()],
-        *[
-            F.when(last, F.col("_after")[source]).otherwise(F.lead(source).over(within)).alias(n)
-            for n, source in leads.items()
-        ],
+    rows = keyed.select(
+        "*",
+        *[F.sum(value).over(upto).alias(f"_upto_{n}") for n, value in sums.items()],
+        *[F.lead(source).over(within).alias(f"_lead_{n}") for n, source in leads.items()],
+        F.lead(F.lit(1)).over(within).isNull().alias("_last"),
     )
+    columns = {c: F.col("_key")[c] if c in keys else F.col(c) for c in df.columns}
+    columns |= {n: F.col(f"_before_{n}") + F.col(f"_upto_{n}") for n in sums}
+    columns |= {
+        n: F.when(F.col("_last"), F.col("_after")[source]).otherwise(F.col(f"_lead_{n}"))
+        for n, source in leads.items()
+    }
+    return rows.join(around, "_key").select(*[c.alias(n) for n, c in columns.items()])
