@@ -371,6 +371,21 @@ REQUEST_ROWS = """
 
 ORACLES = {
     "scan_trips": f"SELECT {TRIP_COLUMNS} FROM trips",
+    "append_trips": f"SELECT {TRIP_COLUMNS} FROM trips",
+    "refresh_trips": f"SELECT {TRIP_COLUMNS} FROM trips",
+    "publish_models": f"""
+        SELECT {TRIP_COLUMNS} FROM trips
+        WHERE start_station_name IN (SELECT station FROM top_both)
+           OR end_station_name IN (SELECT station FROM top_both)""",
+    "stored_stock": "SELECT *, time::DATE AS day FROM stock",
+    "stored_features": f"SELECT {FEATURE_COLUMNS} FROM features",
+    "wide_csv": "SELECT * FROM stock_all",
+    "metric_table": f"""
+        SELECT {PERFORMANCE} FROM (
+          SELECT * FROM old_performance
+          UNION ALL
+          SELECT * FROM new_performance
+          WHERE timestamp NOT IN (SELECT timestamp FROM old_performance))""",
     "stg_trips": f"SELECT {TRIP_COLUMNS} FROM trips",
     "parse_ts": """
         SELECT event_id, unnest(['fraction', 'plain', 'zone', 'bad']) AS form,

@@ -28,8 +28,9 @@ from flowtide.operators import (
     upsert,
 )
 from flowtide.plans import elt, training
+from flowtide.schemas import MODEL_PERFORMANCE, TRIP
 from flowtide.session import materialize, shared_path, write_table
-from flowtide.sources import trip_files
+from flowtide.sources import tables, trip_files
 from flowtide.sources.events import read_events, trips_from_events
 from flowtide.streaming import alerts as alert_stream
 from flowtide.streaming import daily_stock
@@ -111,6 +112,52 @@ def scan_trips(spark, folder):
     return trip_files.read_trips_csv(spark, path, year=2024)
 
 
+def append_trips(spark, folder):
+    path = shared_path(spark, "appended")
+    for kind in TYPES:
+        part = trips(spark, folder).where(F.col("rideable_type") == kind)
+        trip_files.append_trips(part, path)
+    return spark.read.schema(TRIP).parquet(path)
+
+
+def refresh_trips(spark, folder):
+    path = shared_path(spark, "refreshed")
+    for _ in range(2):
+        trip_files.load_year(trips(spark, folder), path)
+    return spark.read.schema(TRIP).parquet(path)
+
+
+def publish_models(spark, folder):
+    marts = elt.publish_models(spark, {2024: trips(spark, folder)}, 2024, shared_path(spark, "marts"))
+    return marts["fct_2024_top_trips"]
+
+
+def stored_stock(spark, folder):
+    path = shared_path(spark, "stored-stock")
+    tables.write_stock(stock(spark, folder), path)
+    return tables.read_stock(spark, path, with_day=True)
+
+
+def stored_features(spark, folder):
+    path = shared_path(spark, "stored-features")
+    tables.write_features(build_features(spark, folder), path)
+    return tables.read_features(spark, path)
+
+
+def wide_csv(spark, folder):
+    path = shared_path(spark, "wide")
+    tables.write_wide_csv(stock_all(spark, folder), path)
+    return tables.read_wide_csv(spark, path)
+
+
+def metric_table(spark, folder):
+    table = tables.VersionedTable(spark, shared_path(spark, "metrics"), MODEL_PERFORMANCE)
+    table.create_if_absent()
+    for part in _old_and_new_performance(spark, folder):
+        table.replace(upsert.upsert_keep_first(table.read(), part, ["timestamp"]))
+    return rounded(table.read(), "rmse", "mae", "abs_error_max")
+
+
 def stg_trips(spark, folder):
     raw = trips(spark, folder)
     return clean.stage_trips(raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]))
@@ -594,7 +641,8 @@ def stream_alerts(spark, folder):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        scan_trips, stg_trips, parse_ts, drop_nulls, drop_nulls_subset, duration_stats,
+        scan_trips, append_trips, refresh_trips, publish_models, stored_stock, stored_features,
+        wide_csv, metric_table, stg_trips, parse_ts, drop_nulls, drop_nulls_subset, duration_stats,
         duration_outliers, starts_by_station, ends_by_station, top_stations_both,
         top_stations_starts, top_station_trips, station_flows, net_flow_all_stations,
         grid_bounds, time_grid, dense_net_flow, stock_series, stock_all_stations, stock_wide,

@@ -23,7 +23,6 @@ RIDEABLE_TYPES = ("classic_bike", "electric_bike")
 REQUEST_YEAR = 2025
 LOOKBACK_HOURS = 2
 ALERT_STEP = 10
-ALERT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # Training
 TRAIN_FRACTION = 0.8
@@ -31,6 +30,9 @@ GBT_ROUNDS = 58
 GBT_DEPTH = 6
 GBT_RATE = 0.2089
 SEED = 42
+EXPERIMENT_ROUNDS = 30
+EXPERIMENT_DEPTH = 20
+EXPERIMENT_RATE = 0.1
 SEARCH_DRAWS = 30
 SEARCH_FOLDS = 5
 SEARCH_PARALLELISM = 4

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from flowtide.constants import (
     CATEGORICAL_FEATURES,
+    EXPERIMENT_DEPTH,
+    EXPERIMENT_RATE,
+    EXPERIMENT_ROUNDS,
     GBT_DEPTH,
     GBT_RATE,
     GBT_ROUNDS,
@@ -71,6 +74,10 @@ def fit_gbt(features: DataFrame, **options) -> PipelineModel:
     return fit(gbt_pipeline(**options), features)
 
 
+# The earlier, deeper setting: fit_gbt(features, **EXPERIMENT)
+EXPERIMENT = {"rounds": EXPERIMENT_ROUNDS, "depth": EXPERIMENT_DEPTH, "rate": EXPERIMENT_RATE}
+
+
 def fit(pipeline: Pipeline, features: DataFrame) -> PipelineModel:
     context = features.sparkSession.sparkContext
     if context.getCheckpointDir() is None:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from flowtide.constants import (
     ALERT_STEP,
-    ALERT_TIME_FORMAT,
     INITIAL_STOCK,
     LAGS,
     LOOKBACK_HOURS,
@@ -160,7 +159,8 @@ def alert_times(
         .select(
             *SERIES,
             "target_day",
-            F.transform(times, lambda t: F.date_format(t, ALERT_TIME_FORMAT)).alias("prediction"),
+            # a slot as text is year to second, with no fraction, whatever the session zone
+            F.transform(times, lambda t: t.cast("string")).alias("prediction"),
         )
     )
 

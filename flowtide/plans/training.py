@@ -69,6 +69,11 @@ def load_champion(spark: SparkSession, root: str) -> PipelineModel:
     return PipelineModel.load(current.model_path)
 
 
+def score_with_champion(spark: SparkSession, root: str, features: DataFrame) -> DataFrame:
+    """The features with the champion's predictions."""
+    return score(load_champion(spark, root), features)
+
+
 def fit_and_evaluate(
     features: DataFrame, train_fraction: float | None = TRAIN_FRACTION, **options
 ) -> tuple[PipelineModel, DataFrame | None]:

@@ -7,6 +7,7 @@ pair is where and when a trip starts, the second where and when it ends.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowtide.functions.calendar import slot
 from flowtide.operators.bucketed import running_over_buckets
 from flowtide.schemas import TRIP
 
@@ -19,7 +20,7 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     """
     numbered = running_over_buckets(
         events.select(
-            "user_id", "ts", "event_id", "event_type", F.date_trunc("minute", "ts").alias("minute")
+            "user_id", "ts", "event_id", "event_type", slot("ts", 1).alias("minute")
         ),
         group=["user_id"],
         bucket="minute",

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowtide.constants import LAG_COLUMNS, TARGET
 from flowtide.operators.reshape import long_to_wide, wide_to_long
 from flowtide.schemas import METRIC_TABLES
 
@@ -17,14 +18,31 @@ STOCK = T.StructType(
 )
 
 
+FEATURES = T.StructType(
+    [
+        T.StructField("station", T.StringType()),
+        T.StructField("rideable_type", T.StringType()),
+        T.StructField("stock", T.LongType()),
+        T.StructField("hour", T.DoubleType()),
+        T.StructField("dayofweek", T.IntegerType()),
+        T.StructField("is_rush_hour", T.IntegerType()),
+        *[T.StructField(c, T.LongType()) for c in LAG_COLUMNS],
+        T.StructField(TARGET, T.LongType()),
+        T.StructField("date", T.DoubleType()),
+    ]
+)
+
+
 def write_stock(stock: DataFrame, path: str) -> None:
     """Long series, one folder per day, so that a day's requests read one folder.
 
-    The rows of a day are brought together first: one file per day, not one per
-    task and day.
+    Rows are spread by ranges of day and series: few files per day, none larger
+    for having many stations, and each with a narrow range of stations to skip by.
     """
-    dated = stock.withColumn("day", F.to_date("time"))
-    dated.repartition("day").write.mode("overwrite").partitionBy("day").parquet(path)
+    dated = stock.select(*STOCK.names, F.to_date("time").alias("day"))
+    spread = dated.repartitionByRange("day", "station", "rideable_type")
+    ordered = spread.sortWithinPartitions("day", "station", "rideable_type", "time")
+    ordered.write.mode("overwrite").partitionBy("day").parquet(path)
 
 
 def read_stock(spark: SparkSession, path: str, with_day: bool = False) -> DataFrame:
@@ -34,10 +52,21 @@ def read_stock(spark: SparkSession, path: str, with_day: bool = False) -> DataFr
     return stored if with_day else stored.select(*STOCK.names)
 
 
+def write_features(features: DataFrame, path: str) -> None:
+    features.write.mode("overwrite").parquet(path)
+
+
+def read_features(spark: SparkSession, path: str, with_time: bool = False) -> DataFrame:
+    """Stored features. ``with_time`` for tables written with their slot."""
+    fields = [T.StructField("time", T.TimestampNTZType())] if with_time else []
+    return spark.read.schema(T.StructType([*fields, *FEATURES])).parquet(path)
+
+
 def write_wide_csv(stock: DataFrame, path: str, names: list[str] | None = None) -> None:
     """Wide series as CSV with one header line, ordered by time."""
     wide = long_to_wide(stock, names).orderBy("time")
-    wide.write.mode("overwrite").option("header", True).csv(path)
+    writer = wide.write.mode("overwrite").option("header", True)
+    writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
 
 
 def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:

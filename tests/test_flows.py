@@ -9,7 +9,7 @@ import pytest
 from conftest import trip, ts
 from pyspark.sql import functions as F
 
-from flowtide.operators import clean, models, requests, reshape, series, stations
+from flowtide.operators import clean, models, requests, reshape, series, split, stations
 from flowtide.operators.features import features
 from flowtide.plans import elt, monitoring, scoring, training
 from flowtide.schemas import MODEL_PERFORMANCE, TRIP
@@ -101,6 +101,22 @@ def test_wide_csv_round_trip(spark, stock):
     assert sorted(tables.read_wide_csv(spark, path).collect()) == sorted(stock.collect())
 
 
+def test_stored_features(spark, stock):
+    for keep_time in (False, True):
+        table = features(stock, keep_time=keep_time)
+        path = shared_path(spark, "stored-features")
+        tables.write_features(table, path)
+        stored = tables.read_features(spark, path, with_time=keep_time)
+        assert stored.columns == table.columns
+        assert sorted(stored.collect()) == sorted(table.collect())
+
+
+def test_deep_trees(spark, stock):
+    table = features(stock.where("time < '2024-03-05'"))
+    model = models.fit_gbt(table, **models.EXPERIMENT | {"rounds": 2})
+    assert models.evaluate(models.score(model, table)).first().r2 > 0.2
+
+
 def test_better_run_is_champion(spark, stock, trained):
     root, (good, good_rmse, promoted), (_, poor_rmse, not_promoted) = trained
     assert good_rmse < poor_rmse
@@ -108,9 +124,8 @@ def test_better_run_is_champion(spark, stock, trained):
     runs = training.read_runs(spark, root)
     assert runs.count() == 2 and training.best_run(runs).first().run_id == good
     table = features(stock, keep_time=True)
-    model = training.load_champion(spark, root)
-    _, scored = training.fit_and_evaluate(table, rounds=4, depth=3)
-    again = models.evaluate(models.score(model, scored.drop("prediction"))).first()
+    held_out = split.test_rows(table)
+    again = models.evaluate(training.score_with_champion(spark, root, held_out)).first()
     assert again.rmse == pytest.approx(good_rmse)
     assert again.mse == pytest.approx(good_rmse**2)
     assert again.mae <= again.rmse <= again.max_error
