@@ -11,7 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from checks.oracles import CURRENT_DAYS, EVENT_TYPES, LINE_NUMBERS, REFERENCE_DAYS, TYPES
+from checks.oracles import (
+    CURRENT_DAYS,
+    EVENT_TYPES,
+    LINE_NUMBERS,
+    REFERENCE_DAYS,
+    SHIFT,
+    TYPES,
+)
 from flowtide.constants import NUMERICAL_FEATURES, TARGET
 from flowtide.operators import (
     clean,
@@ -100,7 +107,9 @@ def line_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.select(*[F.round(c, 6).alias(c) if c in columns else c for c in df.columns])
+    return df.select(
+        *[F.round(F.col(c) + SHIFT, 6).alias(c) if c in columns else c for c in df.columns]
+    )
 
 
 # --- sources and cleaning -----------------------------------------------------
@@ -395,7 +404,7 @@ def best_run(spark, folder):
         )
         runs = run if runs is None else runs.unionByName(run)
     best = training.best_run(runs)
-    return best.select("run_id", F.round(F.col("metrics")[training.METRIC], 6).alias("test_rmse"))
+    return best.select("run_id", F.round(F.col("metrics")[training.METRIC] + SHIFT, 6).alias("test_rmse"))
 
 
 def seasonal_decompose(spark, folder):

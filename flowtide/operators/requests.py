@@ -123,6 +123,16 @@ def score_slice(
     )
 
 
+def fill_lags(rows: DataFrame, lags: int = LAGS, slot_minutes: int = SLOT_MINUTES) -> DataFrame:
+    """Unknown lags, at the start of the history, become the nearest later stock.
+
+    A model without a rule for missing values can then score every slot.
+    """
+    names = [lag_column(k, slot_minutes) for k in range(1, lags + 1)]
+    nearest = {n: F.coalesce(*reversed(names[: i + 1]), "stock") for i, n in enumerate(names)}
+    return rows.select(*[nearest.get(c, F.col(c)).alias(c) for c in rows.columns])
+
+
 def alert_times(
     scored: DataFrame,
     initial_stock: int = INITIAL_STOCK,

@@ -8,6 +8,7 @@ from flowtide.operators.models import score
 from flowtide.operators.requests import (
     alert_times,
     answer_requests,
+    fill_lags,
     score_error,
     score_slice,
 )
@@ -22,13 +23,12 @@ def stockout_alerts(
 ) -> DataFrame:
     """Valid requests with the times at which a stock-out is to be expected.
 
-    Equal requests are scored once. Slots at the start of the history, whose lags
-    are unknown, are not scored.
+    Equal requests are scored once, and every slot of their day is.
     """
-    scored = score(model, score_slice(requests, history))
+    scored = score(model, fill_lags(score_slice(requests, history)))
     return answer_requests(requests, alert_times(scored, initial_stock, step))
 
 
 def one_step_forecast(requests: DataFrame, history: DataFrame, model: PipelineModel) -> DataFrame:
     """Actual and predicted stock and the error per slot of each requested day."""
-    return score_error(score(model, score_slice(requests, history)))
+    return score_error(score(model, fill_lags(score_slice(requests, history))))

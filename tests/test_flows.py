@@ -158,6 +158,8 @@ def test_alerts_from_the_champion(spark, stock, trained):
     answers = {str(r.target_day): r for r in scoring.stockout_alerts(valid, stock, model).collect()}
     assert set(answers) == {"2024-03-05", "2024-03-01"}
     assert answers["2024-03-01"].no_history and not answers["2024-03-01"].warning
+    first_day = valid.withColumn("target_day", F.lit("2024-03-02").cast("date"))
+    assert scoring.one_step_forecast(first_day, stock, model).count() == 96
     steps = scoring.one_step_forecast(valid, stock, model)
     assert steps.count() == 96
     limit, expected = 0.0, []
