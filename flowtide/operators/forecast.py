@@ -114,9 +114,10 @@ def var_design(
 ) -> DataFrame:
     """Per slot: the differences ``y`` of all series and those of ``lags`` slots before.
 
-    ``x`` holds lag 1 of every series, then lag 2, and so on. Lags are taken within
-    each series before the series meet in one row, so no task sorts a whole
-    table. With ``fraction`` only the training slots are used.
+    ``names`` are all series, sorted. ``x`` holds lag 1 of every series, then lag 2,
+    and so on. Lags are taken within each series before the series meet in one
+    row, so no task sorts a whole table. With ``fraction`` only the training slots
+    are used.
     """
     if fraction is not None:
         stock = stock.where(F.col("time") < split_time(stock, fraction))
@@ -134,23 +135,32 @@ def var_design(
         "stock",
         "previous",
         "y",
-        F.array(*[F.lag("y", k).over(along) for k in range(1, lags + 1)]).alias("x"),
+        F.array(*[F.lag("y", k).over(along) for k in range(1, lags + 1)])
+        .cast("array<double>")
+        .alias("x"),
     )
-    # of a bounded number of series per slot: one row each
-    cells = F.struct("stock", "previous", "y", "x")
-    wide = lagged.groupBy("time").pivot("name", list(names)).agg(F.first(cells))
-    cell = [F.col(f"`{n}`") for n in names]
-    row = wide.select(
+    # one row per slot: an array of its series, in the order of their names
+    cell = F.struct("name", "stock", "previous", "y", "x")
+    slots = lagged.groupBy("time").agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    row = slots.where(F.size("cells") == len(names)).select(
         "time",
-        F.array(*[c["stock"] for c in cell]).alias("stock"),
-        F.array(*[c["previous"] for c in cell]).alias("previous"),
-        F.array(*[c["y"] for c in cell]).alias("y"),
-        F.array(*[c["x"][k] for k in range(lags) for c in cell]).cast("array<double>").alias("x"),
+        F.col("cells.stock").alias("stock"),
+        F.col("cells.previous").alias("previous"),
+        F.col("cells.y").alias("y"),
+        F.concat(
+            F.array().cast("array<double>"),
+            *[F.transform("cells", _lag_of(k)) for k in range(lags)],
+        ).alias("x"),
     )
     complete = F.forall("x", lambda v: v.isNotNull()) & F.forall("y", lambda v: v.isNotNull())
     return row.where(complete)
 
 
+def _lag_of(k: int):
+    # a function of one argument: transform passes the index to a second one
+    return lambda cell: cell["x"][k]
+
+
 def fit_var(
     stock: DataFrame,
     max_lags: int = VAR_MAX_LAGS,
@@ -164,7 +174,7 @@ def fit_var(
     Gram matrix, whose size depends on the number of series only; the driver
     solves the normal equations of that matrix.
     """
-    names = tuple(names) if names is not None else tuple(series_names(stock))
+    names = tuple(sorted(names)) if names is not None else tuple(series_names(stock))
     k = len(names)
     gram = _gram(var_design(stock, names, max_lags, fraction))
     n = gram[0, 0]
