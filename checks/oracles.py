@@ -596,5 +596,36 @@ ORACLES = {
 }
 
 
+# Dates are compared as text, and whole numbers that may be missing as doubles, so
+# that both results look the same to whatever reads them.
+DATES = {
+    "daily_features": ["day"],
+    "drift_categorical": ["day"],
+    "drift_numeric": ["day"],
+    "month_days": ["month", "day"],
+    "score_error": ["target_day"],
+    "score_slice": ["target_day"],
+    "stockout_alerts": ["target_day"],
+    "stored_stock": ["day"],
+    "stream_alerts": ["day"],
+    "stream_daily_stock": ["day"],
+    "validate_requests": ["target_day"],
+}
+LAGS = ["lag_15m_stock", "lag_30m_stock", "lag_45m_stock", "lag_60m_stock"]
+MAY_BE_MISSING = {
+    "lag_features": [*LAGS, "target_next_stock"],
+    "score_error": ["predicted_stock", "error"],
+    "score_slice": LAGS,
+    "stock_diff": ["stock_diff"],
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: sql(text) for name, text in ORACLES.items()}
+    finals = {}
+    for name, text in ORACLES.items():
+        casts = [f"{c}::VARCHAR AS {c}" for c in DATES.get(name, [])]
+        casts += [f"{c}::DOUBLE AS {c}" for c in MAY_BE_MISSING.get(name, [])]
+        if casts:
+            text = f"SELECT * REPLACE ({', '.join(casts)}) FROM ({text})"
+        finals[name] = sql(text)
+    return finals

@@ -13,8 +13,10 @@ from pyspark.sql.types import StructType
 
 from checks.oracles import (
     CURRENT_DAYS,
+    DATES,
     EVENT_TYPES,
     LINE_NUMBERS,
+    MAY_BE_MISSING,
     REFERENCE_DAYS,
     SHIFT,
     TYPES,
@@ -647,7 +649,7 @@ def stream_alerts(spark, folder):
     return net_flow_stream.run_to_table(alerts, "stream-alerts")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         scan_trips, append_trips, refresh_trips, publish_models, stored_stock, stored_features,
@@ -673,3 +675,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "features": build_features,
     "profile": trip_profile,
 }
+
+
+def _comparable(name: str, query: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    casts = dict.fromkeys(DATES.get(name, ()), "string")
+    casts |= dict.fromkeys(MAY_BE_MISSING.get(name, ()), "double")
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        df = query(spark, folder)
+        return df.select(*[F.col(f"`{c}`").cast(casts[c]).alias(c) if c in casts else F.col(f"`{c}`") for c in df.columns])
+
+    return run if casts else query
+
+
+QUERIES = {name: _comparable(name, query) for name, query in ALL.items()}
