@@ -66,3 +66,11 @@ def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     """
     path = write_table(df, label, partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a table that :func:`write_table` wrote, once nothing reads it any more."""
+    if not path.startswith(f"{shared_folder(spark)}/flowtide/"):
+        raise ValueError(f"{path} is no table of the shared folder")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
