@@ -4,8 +4,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from flowtide.llm import language, mixing, packing, simhash, toxicity
+from pyspark.sql import functions as F
+
+from flowtide.llm import (
+    html_text,
+    language,
+    license_rules,
+    mixing,
+    packing,
+    prefix_hash,
+    projection_forest,
+    simhash,
+    toxicity,
+    url_rules,
+)
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -19,10 +31,31 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = html_text.extract(_table(spark, folder, "pages"))
+    return pages.select("page_id", "content", F.length("content").cast("long").alias("n_chars"))
+
+
+def op3_prefix_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_hash.fingerprints(_table(spark, folder, "documents"))
+
+
+def op4_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return projection_forest.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_rules.digest(_table(spark, folder, "documents"))
+
+
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judge(_table(spark, folder, "pages"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.assess(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -37,5 +70,16 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
-    for q in (op1_mix_sources, op5_best_fit_packing, op8_toxicity, op9_language_id, op10_simhash)
+    for q in (
+        op1_mix_sources,
+        op2_html_text,
+        op3_prefix_fingerprints,
+        op4_nearest_vectors,
+        op5_best_fit_packing,
+        op6_license_scan,
+        op7_url_filter,
+        op8_toxicity,
+        op9_language_id,
+        op10_simhash,
+    )
 }
