@@ -41,4 +41,75 @@ SELECT doc_id, size, source_size::BIGINT AS source_size, target,
 FROM r
 """
 
-ORACLES = {"op1_mix_sources": OP1}
+# The method spreads blocks over names of a page. Here a recursion walks from every
+# address that a rule blocks to all that it is linked with.
+OP7 = """
+WITH RECURSIVE u AS (
+    SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages
+), parts AS (
+    SELECT page_id, url, html,
+           translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+    FROM u
+), named AS (
+    SELECT *, CASE WHEN host <> '' THEN host || path || regexp_extract(url, '(?s)^[^?#]*(\?[^#]*)', 1) END AS address FROM parts
+), split AS (
+    SELECT address,
+           regexp_replace(regexp_replace(regexp_extract(address, '(?s)\?(.*)$', 1), '(?:^|&)(?:utm_[^&=]*|ref|fbclid|gclid)=[^&]*', '', 'g'), '^&', '') AS query,
+           regexp_replace(regexp_replace(regexp_extract(address, '(?s)^[^?]*'), '^(?:www|m|amp)\.', ''), '/(?:index\.html?)?$', '') AS place
+    FROM named WHERE address IS NOT NULL
+), tags AS (
+    SELECT address, url, host, path,
+           unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag
+    FROM named WHERE address IS NOT NULL
+), targets AS (
+    SELECT address, url, host, path, replace(regexp_extract(tag, CASE
+               WHEN tag[2:5] ILIKE 'link' THEN '(?is)\bhref\s*=\s*[\x22'']?([^\x22''\s>]+)'
+               ELSE '(?is)\burl\s*=\s*[\x22'']?([^\x22''\s>]+)' END, 1), '&amp;', '&') AS target
+    FROM tags
+    WHERE (tag[2:5] ILIKE 'link' AND regexp_matches(tag, '(?is)\brel\s*=\s*[\x22'']?canonical\b'))
+       OR (tag[2:5] ILIKE 'meta' AND regexp_matches(tag, '(?is)\bhttp-equiv\s*=\s*[\x22'']?refresh\b'))
+), absolute AS (
+    SELECT address, CASE
+        WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
+        WHEN target LIKE '//%' THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || target
+        WHEN target LIKE '/%' THEN 'x://' || host || target
+        WHEN target LIKE '#%' THEN url
+        ELSE 'x://' || host || CASE WHEN regexp_extract(path, '(?s)^(.*/)', 1) = '' THEN '/' ELSE regexp_extract(path, '(?s)^(.*/)', 1) END || target
+        END AS goal
+    FROM targets WHERE target <> ''
+), links AS (
+    SELECT address AS a, place || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS b FROM split
+    UNION
+    SELECT address, translate(regexp_extract(goal, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+           || regexp_extract(goal, '(?s)^.*?://[^/?#]*([^?#]*)', 1) || regexp_extract(goal, '(?s)^[^?#]*(\?[^#]*)', 1)
+    FROM absolute
+), pairs AS (
+    SELECT a, b FROM links WHERE a <> b UNION SELECT b, a FROM links WHERE a <> b
+), rules(verdict, host, start) AS (
+    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+           ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), nodes AS (
+    SELECT DISTINCT a AS node, regexp_extract(a, '(?s)^[^/?]*') AS host, regexp_extract(a, '(?s)^[^/?]*([^?]*)', 1) AS path FROM pairs
+), judged AS (
+    SELECT node, (SELECT verdict FROM rules r
+                  WHERE (n.host = r.host OR ends_with(n.host, '.' || r.host)) AND starts_with(n.path, r.start)
+                  ORDER BY length(r.host || r.start) DESC, verdict LIMIT 1) AS verdict
+    FROM nodes n
+), blocked(node) AS (
+    SELECT node FROM judged WHERE verdict = 'block'
+    UNION
+    SELECT pairs.b FROM blocked JOIN pairs ON blocked.node = pairs.a
+)
+SELECT page_id, host, path,
+       (SELECT r.host || r.start FROM rules r
+        WHERE (n.host = r.host OR ends_with(n.host, '.' || r.host)) AND starts_with(n.path, r.start)
+        ORDER BY length(r.host || r.start) DESC, verdict LIMIT 1) AS rule,
+       coalesce((SELECT verdict FROM rules r
+                 WHERE (n.host = r.host OR ends_with(n.host, '.' || r.host)) AND starts_with(n.path, r.start)
+                 ORDER BY length(r.host || r.start) DESC, verdict LIMIT 1),
+                CASE WHEN n.address IN (SELECT node FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict
+FROM named n
+"""
+
+ORACLES = {"op1_mix_sources": OP1, "op7_url_filter": OP7}

@@ -58,7 +58,7 @@ class WordTokenizer:
     def _ids(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "surrogatepass")
         letters = text.rstrip(".,")
-        if letters.isalpha() and max(map(ord, letters)) < LATIN:
+        if letters.lower().isalpha() and max(map(ord, letters)) < LATIN:
             marks = text[len(letters) :]
             found = self._letters(letters) + (self._look_up(marks.encode()) if marks else b"")
         else:

@@ -103,7 +103,7 @@ def grow(sample: np.ndarray, norm: float, count: int, trees: int = TREES) -> For
 
         def split(rows, level):
             if level == depth or len(rows) < 2 * LEAST_SAMPLED:
-                parts.append(len(rows) / len(lifted))
+                parts.append(len(rows) / max(len(lifted), 1))
                 return -len(parts)
             a, b = lifted[rng.choice(rows, 2, replace=False)]
             plane = a - b if (a != b).any() else rng.standard_normal(lifted.shape[1])
@@ -237,7 +237,7 @@ def nearest(
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
     norm = entries.agg(F.max(length)).first()[0] or 0.0
     sample = entries.orderBy(F.xxhash64("entry"), "entry").limit(min(SAMPLE, max(1, (1 << 22) // max(dims, 1))))
-    sampled = _matrix(sample.select("vector").toPandas()["vector"]).reshape(-1, dims)
+    sampled = _matrix(sample.select("vector").toPandas()["vector"]).reshape(-1, max(dims, 1))
     forest = spark.sparkContext.broadcast(grow(sampled, norm, count))
 
     leaves = max(1, len(forest.value.trees[0][3]))

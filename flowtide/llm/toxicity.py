@@ -61,6 +61,8 @@ class FactorizationMachine:
 
     def score(self, text: str | None) -> float:
         """Between 0 and 1; the score of an empty text is that of the bias alone."""
+        if np.isneginf(self.bias):
+            return 0.0  # nothing was learned
         rows = sorted(self.index[t] for t in terms(text) if t in self.index)
         if not rows:
             return float(_sigmoid(self.bias))
