@@ -43,7 +43,7 @@ FROM r
 
 # The method spreads blocks over names of a page. Here a recursion walks from every
 # address that a rule blocks to all that it is linked with.
-OP7 = """
+OP7 = r"""
 WITH RECURSIVE u AS (
     SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages
 ), parts AS (
