@@ -5,10 +5,12 @@ Each entry may use the named steps below; ``sql`` puts the needed ones in front.
 
 import re
 
-REFERENCE_DAYS = ("2024-01-02", "2024-01-15")
-CURRENT_DAYS = ("2024-01-16", "2024-01-30")
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 TYPES = ("classic_bike", "electric_bike")
+TEXT_COLUMNS = (
+    "ride_id", "rideable_type", "start_station_name", "start_station_id",
+    "end_station_name", "end_station_id", "member_casual",
+)
 
 
 # Doubles are compared to six digits. Averages over 96 slots are often exact binary
@@ -196,10 +198,12 @@ STEPS = {
         FROM every_fold f JOIN every_slot o
           ON o.station = f.station AND o.rideable_type = f.rideable_type
          AND o.target_day = f.target_day AND o.i = f.i + 1""",
-    "reference": "SELECT *, time::DATE AS day FROM features WHERE time::DATE BETWEEN "
-    + "DATE '{}' AND DATE '{}'".format(*REFERENCE_DAYS),
-    "current": "SELECT *, time::DATE AS day FROM features WHERE time::DATE BETWEEN "
-    + "DATE '{}' AND DATE '{}'".format(*CURRENT_DAYS),
+    "middle": """
+        SELECT min(time::DATE) + ((max(time::DATE) - min(time::DATE)) // 2)::INTEGER AS middle_day FROM features""",
+    "reference": """
+        SELECT *, time::DATE AS day FROM features WHERE time::DATE <= (SELECT middle_day FROM middle)""",
+    "current": """
+        SELECT *, time::DATE AS day FROM features WHERE time::DATE > (SELECT middle_day FROM middle)""",
     "ref_values": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, {c}::DOUBLE AS value FROM reference" for c in NUMERIC
     ),
@@ -496,7 +500,7 @@ ORACLES = {
     "rows_with_nulls": f"SELECT {TRIP_COLUMNS} FROM trips WHERE end_lat IS NULL",
     "mixed_types": _profile(
         "trips",
-        {c: "" for c in ("ride_id", "start_station_name", "end_station_name", "member_casual")},
+        {c: "" for c in TEXT_COLUMNS},
         "count(*) FILTER (WHERE {c} IS NULL) AS n_missing, "
         "count(*) FILTER (WHERE TRY_CAST({c} AS DOUBLE) IS NOT NULL) AS n_numeric, "
         "count(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS DOUBLE) IS NULL) AS n_text",
@@ -522,7 +526,7 @@ ORACLES = {
     "stockout_alerts": """
         SELECT r.station, r.rideable_type, r.target_day,
                coalesce(array_to_string(a.fired, ','), '') AS prediction,
-               coalesce(len(a.fired), 0) > 0 AS warning, a.fired IS NULL AS no_history
+               coalesce(len(a.fired), 0) > 0 AS warning, a.fired IS NULL AS no_history, false AS unscored
         FROM requested r LEFT JOIN alerts a ON a.station = r.station
              AND a.rideable_type = r.rideable_type AND a.target_day = r.target_day""",
     "daily_features": f"""
@@ -572,9 +576,7 @@ ORACLES = {
         SELECT time, rideable_type, stock FROM stock_all
         WHERE time::DATE = DATE '2024-01-04' AND station = 'view'""",
     # windows that end before the last event less the delay
-    "stream_net_flow": """
-        SELECT * FROM arriving_net
-        WHERE time + INTERVAL 15 MINUTE <= (SELECT max(time) - INTERVAL 1 HOUR FROM arriving)""",
+    "stream_net_flow": "SELECT * FROM arriving_net",
     "stream_daily_stock": """
         SELECT time::DATE AS day, time, station, rideable_type,
                (10 + sum(net_flow) OVER (PARTITION BY station, rideable_type, time::DATE

@@ -12,12 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from checks.oracles import (
-    CURRENT_DAYS,
     DATES,
     EVENT_TYPES,
     LINE_NUMBERS,
     MAY_BE_MISSING,
-    REFERENCE_DAYS,
     SHIFT,
     TYPES,
 )
@@ -63,7 +61,7 @@ def _table(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
 
 def _stream(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
     path, schema = _path(spark, folder, name, build)
-    return spark.readStream.schema(schema).parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def _build_trips(spark, folder):
@@ -368,7 +366,7 @@ def rows_with_nulls(spark, folder):
 
 
 def mixed_types(spark, folder):
-    columns = ["ride_id", "start_station_name", "end_station_name", "member_casual"]
+    columns = [f.name for f in TRIP if f.dataType.simpleString() == "string"]
     return profile.mixed_types(trips(spark, folder), columns)
 
 
@@ -515,20 +513,19 @@ def stockout_alerts(spark, folder):
         F.array_join("prediction", ",").alias("prediction"),
         "warning",
         "no_history",
+        "unscored",
     )
 
 
 # --- monitoring -------------------------------------------------------------------------
 
 
-def _between(table: DataFrame, days: tuple[str, str]) -> DataFrame:
-    first, last = (F.lit(d).cast("date") for d in days)
-    return drift.with_day(table).where(F.col("day").between(first, last))
-
-
 def _drift_sides(spark, folder):
-    table = feature_rows(spark, folder).drop("time")
-    return _between(table, REFERENCE_DAYS), _between(table, CURRENT_DAYS)
+    """The first half of the days as reference, the others as current days."""
+    table = drift.with_day(feature_rows(spark, folder)).drop("time")
+    ends = table.agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    middle = ends.select(F.date_add("first", F.floor(F.date_diff("last", "first") / 2).cast("int"))).scalar()
+    return table.where(F.col("day") <= middle), table.where(F.col("day") > middle)
 
 
 def _value_counts(spark, folder):
@@ -627,14 +624,27 @@ def day_series(spark, folder):
 # --- streams ----------------------------------------------------------------------------
 
 
+STREAM_FILES = 20
+
+
+def _arriving_trips(spark, folder):
+    """Trips in the order of their starts, each file a batch of its own."""
+
+    def build():
+        return trips(spark, folder).repartitionByRange(STREAM_FILES, "started_at", "ride_id")
+
+    return clean.preprocess(_stream(spark, folder, "trips-by-start", build))
+
+
 def stream_net_flow(spark, folder):
-    arriving = clean.preprocess(_stream(spark, folder, "trips", _build_trips(spark, folder)))
-    windows = net_flow_stream.net_flow_stream(stations.station_flows(arriving, top_n=None), "1 hour")
-    return net_flow_stream.run_to_table(windows, "stream-net-flow")
+    path = shared_path(spark, "stream-net-flow")
+    flows = stations.station_flows(_arriving_trips(spark, folder), top_n=None)
+    net_flow_stream.start_net_flow(flows, path, f"{path}-progress").awaitTermination()
+    return net_flow_stream.read_net_flow(spark, path)
 
 
 def stream_daily_stock(spark, folder):
-    arriving = clean.preprocess(_stream(spark, folder, "trips", _build_trips(spark, folder)))
+    arriving = _arriving_trips(spark, folder)
     path = shared_path(spark, "stream-stock")
     query = daily_stock.start_daily_stock(
         stations.station_flows(arriving, top_n=None), path, f"{path}/progress"
@@ -644,9 +654,13 @@ def stream_daily_stock(spark, folder):
 
 
 def stream_alerts(spark, folder):
-    arriving = _stream(spark, folder, "stock", _build_stock(spark, folder))
-    alerts = alert_stream.alert_stream(arriving.withColumnRenamed("stock", "prediction"))
-    return net_flow_stream.run_to_table(alerts, "stream-alerts")
+    def build():
+        return stock(spark, folder).repartitionByRange(STREAM_FILES, "time", "station", "rideable_type")
+
+    arriving = _stream(spark, folder, "stock-by-time", build).withColumnRenamed("stock", "prediction")
+    path = shared_path(spark, "stream-alerts")
+    alert_stream.start_alerts(arriving, path, f"{path}/progress").awaitTermination()
+    return alert_stream.read_alerts(spark, path)
 
 
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {

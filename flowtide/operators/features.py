@@ -99,14 +99,9 @@ def stock_diff(stock: DataFrame) -> DataFrame:
     return stock.select("*", change.alias("stock_diff"))
 
 
-def categories(df: DataFrame, column: str, limit: int = 10_000) -> list[str]:
-    """Sorted distinct values of a column, for operators that make columns of them.
-
-    More than ``limit`` values cannot become columns; that is an error.
-    """
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values, too many for columns")
+def categories(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct values of a column, for operators that make columns of them."""
+    rows = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
     return sorted(row[0] for row in rows)
 
 

@@ -33,26 +33,28 @@ from flowtide.operators.split import ordered_folds
 from flowtide.session import materialize, shared_folder
 
 
+MIN_BINS = 128
+
+
 def gbt_pipeline(
     rounds: int = GBT_ROUNDS,
     depth: int = GBT_DEPTH,
     rate: float = GBT_RATE,
     seed: int = SEED,
     inputs: Sequence[str] = MODEL_INPUTS,
-    max_bins: int = 128,
+    max_bins: int = MIN_BINS,
 ) -> Pipeline:
     """Index the categories, assemble the inputs, boost regression trees.
 
-    ``max_bins`` must not be smaller than the number of stations. A row with a
-    NULL lag, or of a station not seen in training, is left out.
+    :func:`fit` raises ``max_bins`` to the number of categories in its data.
     """
     indexed = [f"{c}_index" for c in CATEGORICAL_FEATURES]
     indexer = StringIndexer(
-        inputCols=list(CATEGORICAL_FEATURES), outputCols=indexed, handleInvalid="skip"
+        inputCols=list(CATEGORICAL_FEATURES), outputCols=indexed, handleInvalid="keep"
     )
     numbers = [c for c in inputs if c not in CATEGORICAL_FEATURES]
     assembler = VectorAssembler(
-        inputCols=[*indexed, *numbers], outputCol="inputs", handleInvalid="skip"
+        inputCols=[*indexed, *numbers], outputCol="inputs", handleInvalid="keep"
     )
     booster = GBTRegressor(
         featuresCol="inputs",
@@ -70,7 +72,7 @@ def gbt_pipeline(
 
 
 def fit_gbt(features: DataFrame, **options) -> PipelineModel:
-    """Fit on all given rows. The defaults are the registered model's."""
+    """Fit on all rows whose inputs are known. The defaults are the registered model's."""
     return fit(gbt_pipeline(**options), features)
 
 
@@ -79,24 +81,50 @@ EXPERIMENT = {"rounds": EXPERIMENT_ROUNDS, "depth": EXPERIMENT_DEPTH, "rate": EX
 
 
 def fit(pipeline: Pipeline, features: DataFrame) -> PipelineModel:
+    """Fit on the rows that have all inputs and a target."""
+    pipeline, rows = _ready(pipeline, features)
+    return pipeline.fit(rows)
+
+
+def _ready(pipeline: Pipeline, features: DataFrame) -> tuple[Pipeline, DataFrame]:
+    """The rows that can be learned from, and the pipeline with a bin for each category."""
     context = features.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(features.sparkSession))
-    return pipeline.fit(features)
+    indexer, assembler, booster = pipeline.getStages()
+    kinds = indexer.getInputCols()
+    numbers = [c for c in assembler.getInputCols() if c not in indexer.getOutputCols()]
+    rows = features.na.drop(subset=[*kinds, *numbers, booster.getLabelCol()])
+    counts = rows.agg(*[F.count_distinct(c).alias(c) for c in kinds]).first()
+    # a tree needs a bin for each category, and one for those it has not seen
+    bins = max(booster.getMaxBins(), max(counts) + 2)
+    return Pipeline(stages=[indexer, assembler, booster.copy({booster.maxBins: bins})]), rows
 
 
 def score(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """The features with a ``prediction`` column."""
+    """The features with a ``prediction`` column, NULL where there can be none.
+
+    That is where an input is NULL, or a category was not seen in training. No row
+    is left out.
+    """
+    indexer, assembler = model.stages[0], model.stages[1]
+    known = F.lit(True)
+    for index, labels in zip(indexer.getOutputCols(), indexer.labelsArray, strict=True):
+        known &= F.col(index) < len(labels)
+    for number in assembler.getInputCols():
+        if number not in indexer.getOutputCols():
+            known &= F.col(number).isNotNull()
     scored = model.transform(features)
-    return scored.select(*features.columns, "prediction")
+    return scored.select(*features.columns, F.when(known, F.col("prediction")).alias("prediction"))
 
 
 def evaluate(scored: DataFrame, target: str = TARGET, prediction: str = "prediction") -> DataFrame:
-    """One row of held-out metrics."""
+    """One row of held-out metrics, and how many rows had no prediction or target."""
     error = F.col(target) - F.col(prediction)
     squared = F.avg(F.pow(error, 2))
     return scored.agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(error).alias("n"),
+        F.count_if(error.isNull()).alias("n_unscored"),
         F.sqrt(squared).alias("rmse"),
         squared.alias("mse"),
         F.avg(F.abs(error)).alias("mae"),
@@ -134,7 +162,7 @@ def random_search(
     """
     stored = materialize(features, "search")
     blocks = materialize(ordered_folds(stored, folds), "folds")
-    pipeline = gbt_pipeline(seed=seed, inputs=inputs)
+    pipeline, blocks = _ready(gbt_pipeline(seed=seed, inputs=inputs), blocks)
     booster = pipeline.getStages()[-1]
     draw = random.Random(seed)
     settings = [

@@ -165,10 +165,11 @@ def alert_times(
     times = F.aggregate("day", start, visit, lambda s: s["alerts"])
     return (
         scored.groupBy(*SERIES, "target_day")
-        .agg(day.alias("day"))
+        .agg(day.alias("day"), (F.count("prediction") == 0).alias("unscored"))
         .select(
             *SERIES,
             "target_day",
+            "unscored",
             # a slot as text is year to second, with no fraction, whatever the session zone
             F.transform(times, lambda t: t.cast("string")).alias("prediction"),
         )
@@ -176,8 +177,11 @@ def alert_times(
 
 
 def answer_requests(requests: DataFrame, alerts: DataFrame) -> DataFrame:
-    """Each valid request with its alerts, a warning flag, and whether the history
-    holds its day at all."""
+    """Each valid request with its alerts and a warning flag.
+
+    ``no_history``: the history does not hold the day. ``unscored``: it does, but the
+    model gave no prediction, as for a station that it has not seen.
+    """
     joined = requests.join(alerts, [*SERIES, "target_day"], "left")
     times = F.coalesce("prediction", F.array().cast("array<string>"))
     return joined.select(
@@ -185,6 +189,7 @@ def answer_requests(requests: DataFrame, alerts: DataFrame) -> DataFrame:
         times.alias("prediction"),
         (F.size(times) > 0).alias("warning"),
         F.col("prediction").isNull().alias("no_history"),
+        F.coalesce("unscored", F.lit(False)).alias("unscored"),
     )
 
 

@@ -8,12 +8,10 @@ from pyspark.sql import functions as F
 SEPARATOR = "|"
 
 
-def series_names(stock: DataFrame, limit: int = 10_000) -> list[str]:
-    """Sorted station|type names of the observed series; an error beyond ``limit``."""
+def series_names(stock: DataFrame) -> list[str]:
+    """Sorted station|type names of the observed series, which are to become columns."""
     name = F.concat_ws(SEPARATOR, "station", "rideable_type").alias("name")
-    rows = stock.select(name).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} series, too many for columns")
+    rows = stock.select(name).distinct().collect()
     return sorted(row.name for row in rows)
 
 
@@ -22,13 +20,18 @@ def long_to_wide(
 ) -> DataFrame:
     """One row per slot, one column per series named station|type, 0 where absent.
 
-    Known ``names`` save the pass that looks them up.
+    Known ``names`` save the pass that looks them up. A series that is not among them
+    fails the query: it would have no column to go to.
     """
     names = list(names) if names is not None else series_names(stock)
     keyed = stock.select(
         "time", F.concat_ws(SEPARATOR, "station", "rideable_type").alias("name"), value
     )
-    wide = keyed.groupBy("time").pivot("name", names).agg(F.sum(value))
+    name = F.col("name")
+    listed = F.when(name.isin(names), name).otherwise(
+        F.raise_error(F.concat(F.lit("series without a column: "), name))
+    )
+    wide = keyed.withColumn("name", listed).groupBy("time").pivot("name", names).agg(F.sum(value))
     return wide.na.fill(0)
 
 

@@ -72,5 +72,28 @@ def drop_table(spark: SparkSession, path: str) -> None:
     """Delete a table that :func:`write_table` wrote, once nothing reads it any more."""
     if not path.startswith(f"{shared_folder(spark)}/flowtide/"):
         raise ValueError(f"{path} is no table of the shared folder")
+    delete_path(spark, path)
+
+
+def _on_storage(spark: SparkSession, path: str):
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    storage, folder = _on_storage(spark, path)
+    storage.delete(folder, True)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path on any storage, hidden ones left out."""
+    storage, folder = _on_storage(spark, path)
+    if not storage.exists(folder):
+        return []
+    found = (s.getPath().getName() for s in storage.listStatus(folder) if s.isDirectory())
+    return [name for name in found if name[0] not in "._"]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    storage, folder = _on_storage(spark, path)
+    return storage.exists(folder)

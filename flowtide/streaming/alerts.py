@@ -1,67 +1,68 @@
 """Stock-out alerts from a stream of predictions."""
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from flowtide.constants import ALERT_STEP, INITIAL_STOCK, SERIES, SLOT_MINUTES
-from flowtide.functions.calendar import as_utc_instant
+from flowtide.operators.requests import alert_times
+from flowtide.streaming.day_state import merge_days
+
+DAY_ALERTS = T.StructType(
+    [
+        T.StructField("station", T.StringType()),
+        T.StructField("rideable_type", T.StringType()),
+        T.StructField("alerts", T.ArrayType(T.StringType())),
+        T.StructField("day", T.DateType()),
+    ]
+)
 
 
-def alert_stream(
+def start_alerts(
     predictions: DataFrame,
-    late: str = "1 hour",
+    path: str,
+    progress: str,
     initial_stock: int = INITIAL_STOCK,
     step: int = ALERT_STEP,
     slot_minutes: int = SLOT_MINUTES,
-) -> DataFrame:
-    """One row per alert. The state of a (station, type, day) is its current limit.
+) -> StreamingQuery:
+    """Start a query that keeps the alerts of every day.
 
-    ``predictions`` hold time, station, type and the prediction for the next slot,
-    and arrive in time order per key. A day's state is dropped once the stream is
-    ``late`` past the day.
+    ``predictions`` hold time, station, type and the prediction for the next slot, in
+    any order. A day's predictions are kept, and its alerts worked out again from all
+    of them when a batch touches the day; of a slot sent twice the later batch counts.
     """
 
-    def alerts_of(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        limit = state.get[0] if state.exists else float(initial_stock - step)
-        # a day of one series: at most a day's number of slots
-        rows = pd.concat(list(batches)).sort_values("time")
-        due = []
-        for time, prediction in zip(rows["time"], rows["prediction"], strict=True):
-            if prediction < limit:
-                due.append(time + pd.Timedelta(minutes=slot_minutes))
-                limit -= step
-        state.update((limit,))
-        state.setTimeoutTimestamp(int(pd.Timestamp(key[2]).timestamp() * 1000) + 86_400_000)
-        if due:
-            yield pd.DataFrame(
-                {
-                    "station": key[0],
-                    "rideable_type": key[1],
-                    "day": key[2],
-                    "alert": [f"{t:%Y-%m-%d %H:%M:%S}" for t in due],
-                }
-            )
+    def merge(batch: DataFrame, number: int) -> None:
+        sent = batch.where(F.col("time").isNotNull()).select(
+            F.to_date("time").alias("day"),
+            "time",
+            *SERIES,
+            F.struct(F.lit(number).alias("sent"), F.col("prediction").cast("double").alias("value")).alias("latest"),
+        )
+        state = merge_days(
+            sent,
+            number,
+            f"{path}/predictions",
+            lambda rows: rows.groupBy("day", "time", *SERIES).agg(F.max("latest").alias("latest")),
+        )
+        scored = state.select(F.col("day").alias("target_day"), "time", *SERIES, F.col("latest.value").alias("prediction"))
+        found = alert_times(scored, initial_stock, step, slot_minutes)
+        rows = found.select(*SERIES, F.col("prediction").alias("alerts"), F.col("target_day").alias("day"))
+        rows.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "day"
+        ).parquet(f"{path}/alerts")
 
-    timed = predictions.select(
-        as_utc_instant("time").alias("instant"),
-        "time",
-        *SERIES,
-        F.col("prediction").cast("double").alias("prediction"),
-        F.to_date("time").alias("day"),
-    ).withWatermark("instant", late)
-    return timed.groupBy(*SERIES, "day").applyInPandasWithState(
-        alerts_of,
-        outputStructType="station string, rideable_type string, day date, alert string",
-        stateStructType="threshold double",
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.EventTimeTimeout,
+    return (
+        predictions.writeStream.foreachBatch(merge)
+        .option("checkpointLocation", progress)
+        .trigger(availableNow=True)
+        .start()
     )
+
+
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """One row per alert."""
+    days = spark.read.schema(DAY_ALERTS).parquet(f"{path}/alerts")
+    return days.select(*SERIES, "day", F.explode("alerts").alias("alert"))

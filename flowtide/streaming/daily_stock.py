@@ -7,18 +7,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from flowtide.constants import INITIAL_STOCK, SERIES, SLOT_MINUTES
-from flowtide.operators.series import net_flow
+from flowtide.streaming.net_flow import add_flows
 
-NET_FLOW = T.StructType(
-    [
-        T.StructField("time", T.TimestampNTZType()),
-        T.StructField("station", T.StringType()),
-        T.StructField("rideable_type", T.StringType()),
-        T.StructField("net_flow", T.LongType()),
-        T.StructField("day", T.DateType()),
-        T.StructField("batch", T.LongType()),
-    ]
-)
 DAILY_STOCK = T.StructType(
     [
         T.StructField("time", T.TimestampNTZType()),
@@ -39,23 +29,15 @@ def start_daily_stock(
 ) -> StreamingQuery:
     """Start a query that keeps the stock after every busy slot, one folder per day.
 
-    Each batch stores its net flow under its own number, so that a repeated batch
-    replaces itself, and then rewrites the stock of the days it touched, late
-    flows included. Days it did not touch are neither read nor written.
+    Each batch adds its flows to the net flow of the days it touches and rewrites
+    their stock, late flows included. Other days are neither read nor written.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        net = net_flow(batch, slot_minutes).select("*", F.to_date("time").alias("day"))
-        net.write.mode("overwrite").partitionBy("day").parquet(f"{path}/net_flow/batch={number}")
-        stored = spark.read.schema(NET_FLOW).parquet(f"{path}/net_flow")
-        touched = stored.where(F.col("batch") == number).select("day").distinct()
-        # both by partition folder: the days prune the files of earlier batches
-        affected = stored.where(F.col("batch") <= number).join(touched, "day", "left_semi")
-        total = affected.groupBy("time", *SERIES, "day").agg(F.sum("net_flow").alias("net_flow"))
+        total = add_flows(batch, number, f"{path}/net_flow", slot_minutes)
         along = W.partitionBy(*SERIES, "day").orderBy("time").rowsBetween(W.unboundedPreceding, 0)
         stock = (F.lit(initial_stock) + F.sum("net_flow").over(along)).cast("bigint")
-        running = total.select("time", *SERIES, stock.alias("stock"), "day")
+        running = total.select("time", *SERIES, stock.alias("stock"), "day").repartition("day")
         running.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "day"
         ).parquet(f"{path}/stock")

@@ -13,7 +13,7 @@ from flowtide.operators import clean, models, requests, reshape, series, split,
 from flowtide.operators.features import features
 from flowtide.plans import elt, monitoring, scoring, training
 from flowtide.schemas import MODEL_PERFORMANCE, TRIP
-from flowtide.session import shared_path
+from flowtide.session import list_folders, shared_path
 from flowtide.sources import tables, trip_files
 from flowtide.streaming import alerts as alert_stream
 from flowtide.streaming import daily_stock
@@ -131,6 +131,19 @@ def test_better_run_is_champion(spark, stock, trained):
     assert again.mae <= again.rmse <= again.max_error
 
 
+def test_more_stations_than_bins_and_an_unseen_one(spark, stock):
+    table = features(stock).drop("station")
+    numbered = table.withColumn("station", F.concat(F.lit("s"), F.monotonically_increasing_id() % 1000))
+    model = models.fit_gbt(numbered, rounds=1, depth=2)
+    asked = numbered.limit(5).unionByName(numbered.limit(2).withColumn("station", F.lit("new"))).unionByName(
+        numbered.limit(1).withColumn("lag_15m_stock", F.lit(None).cast("long"))
+    )
+    scored = models.score(model, asked)
+    assert scored.count() == 8 and scored.where("prediction IS NULL").count() == 3
+    row = models.evaluate(scored).first()
+    assert (row.n, row.n_unscored) == (5, 3)
+
+
 def test_importance_and_training_on_all_rows(spark, stock):
     table = features(stock)
     model, scored = training.fit_and_evaluate(table, train_fraction=None, rounds=2, depth=2)
@@ -162,6 +175,10 @@ def test_alerts_from_the_champion(spark, stock, trained):
     assert scoring.one_step_forecast(first_day, stock, model).count() == 96
     steps = scoring.one_step_forecast(valid, stock, model)
     assert steps.count() == 96
+    unseen = spark.createDataFrame([("zz", "classic_bike", date(2024, 3, 5))], valid.select("station", "rideable_type", "target_day").schema)
+    history = stock.where("station = 'a'").withColumn("station", F.lit("zz"))
+    answer = scoring.stockout_alerts(unseen, history, model).first()
+    assert answer.unscored and not answer.no_history and not answer.warning
     limit, expected = 0.0, []
     for r in steps.orderBy("time").collect():
         assert r.error == r.actual_stock - r.predicted_stock
@@ -232,11 +249,22 @@ def arriving(spark, trips, parts):
 def test_net_flow_of_a_stream_in_batches(spark):
     trips = busy_trips(spark, days=3, n=300)
     flows = stations.station_flows(arriving(spark, trips, 4), top_n=None)
-    got = net_flow_stream.run_to_table(net_flow_stream.net_flow_stream(flows, "2 hours"), "net")
+    path = shared_path(spark, "net")
+    net_flow_stream.start_net_flow(flows, path, f"{path}-progress").awaitTermination()
     batch = series.net_flow(stations.station_flows(clean.preprocess(trips), top_n=None))
-    newest = trips.agg(F.max("ended_at")).first()[0]
-    closed = [r for r in batch.collect() if r.time + timedelta(minutes=15) <= newest - timedelta(hours=2)]
-    assert sorted(map(repr, got.collect())) == sorted(map(repr, closed))
+    got = net_flow_stream.read_net_flow(spark, path)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, batch.collect()))
+    days = list_folders(spark, path)
+    assert days and all(len(list_folders(spark, f"{path}/{day}")) <= 2 for day in days)
+
+
+def test_a_repeated_batch_counts_once(spark):
+    path = shared_path(spark, "repeated")
+    rows = [(ts("2024-01-01 08:00:00"), "a", "x", -1), (ts("2024-01-02 08:00:00"), "a", "x", 1)]
+    flows = spark.createDataFrame(rows, "time timestamp_ntz, station string, rideable_type string, flow int")
+    for number in (0, 1, 1, 2, 2):
+        net_flow_stream.add_flows(flows, number, path)
+    assert sorted(r.net_flow for r in net_flow_stream.read_net_flow(spark, path).collect()) == [-3, 3]
 
 
 def test_daily_stock_of_a_stream_in_batches(spark):
@@ -265,7 +293,9 @@ def test_alerts_of_a_stream_in_batches(spark):
     for i in range(0, len(rows), 50):
         spark.createDataFrame(rows[i : i + 50], schema).coalesce(1).write.mode("append").parquet(path)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
-    got = net_flow_stream.run_to_table(alert_stream.alert_stream(stream), "alerts").collect()
+    table = shared_path(spark, "alerts")
+    alert_stream.start_alerts(stream, table, f"{table}-progress").awaitTermination()
+    got = alert_stream.read_alerts(spark, table).collect()
     expected = []
     for d in range(2):
         limit = 0.0

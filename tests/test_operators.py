@@ -9,7 +9,7 @@ from conftest import ts
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowtide.operators import drift, features, forecast, profile, requests, split, upsert
+from flowtide.operators import drift, features, forecast, profile, requests, reshape, split, upsert
 from flowtide.operators.bucketed import running_over_buckets
 from flowtide.sources.events import trips_from_events
 
@@ -182,13 +182,20 @@ def test_scaling_and_its_inverse(spark):
     assert features.min_max_restore(scaled, ["a", "b"], df).collect() == [(1.0, 5.0), (3.0, 5.0), (9.0, 5.0)]
 
 
-def test_one_hot_and_its_limit(spark):
+def test_one_hot(spark):
     df = spark.createDataFrame([("x", 1), ("y", 2), (None, 3)], "k string, v int")
     out = features.one_hot(df, {"k": None})
     assert out.columns == ["v", "k_x", "k_y"]
     assert sorted(tuple(r) for r in out.collect()) == [(1, 1, 0), (2, 0, 1), (3, 0, 0)]
-    with pytest.raises(ValueError, match="more than 1"):
-        features.categories(df, "k", limit=1)
+    many = spark.range(1200).select(F.concat(F.lit("k"), "id").alias("k"))
+    assert features.categories(many, "k") == sorted(f"k{i}" for i in range(1200))
+
+
+def test_an_unlisted_series_is_not_dropped(spark):
+    stock = stock_frame(spark, {("a", "x"): [1, 2], ("b", "x"): [3, 4]})
+    assert reshape.long_to_wide(stock, ["a|x", "b|x"]).count() == 2
+    with pytest.raises(Exception, match="series without a column: b|x"):
+        reshape.long_to_wide(stock, ["a|x"]).collect()
 
 
 def test_sequences_hold_the_rows_before(spark):
