@@ -256,6 +256,17 @@ STEPS = {
                avg(abs(target_next_stock - stock)) AS mae,
                max(abs(target_next_stock - stock))::DOUBLE AS abs_error_max
         FROM features GROUP BY 1""",
+    "slots": """
+        SELECT time, max(is_rush_hour) AS is_rush_hour, sum(target_next_stock)::DOUBLE AS target
+        FROM features GROUP BY 1""",
+    "slot_split": """
+        SELECT *, row_number() OVER (ORDER BY time) <= floor(0.8e0 * (SELECT count(*) FROM slots)) AS is_train
+        FROM slots""",
+    # a tree of one split on a flag predicts the mean of either group
+    "rush_means": "SELECT is_rush_hour, avg(target) AS p FROM slots GROUP BY 1",
+    "train_means": "SELECT is_rush_hour, avg(target) AS p FROM slot_split WHERE is_train GROUP BY 1",
+    "slot_scores": """
+        SELECT s.*, m.p FROM slot_split s JOIN train_means m ON s.is_rush_hour = m.is_rush_hour""",
     "old_performance": """
         SELECT timestamp, rmse + 1 AS rmse, mae + 1 AS mae, abs_error_max + 1 AS abs_error_max
         FROM performance WHERE timestamp < TIMESTAMP '2024-01-21'""",
@@ -545,6 +556,38 @@ ORACLES = {
                avg(is_drift::INTEGER) > 0.5 AS dataset_drift
         FROM drift GROUP BY 1""",
     "daily_performance": f"SELECT {PERFORMANCE} FROM performance",
+    "zip_trips": f"SELECT {TRIP_COLUMNS} FROM trips",
+    "naive_metrics": f"""
+        SELECT count(*) AS n, 0::BIGINT AS n_unscored, {rounded('sqrt(avg(e * e))')} AS rmse,
+               {rounded('avg(e * e)')} AS mse, {rounded('avg(abs(e))')} AS mae, {rounded('max(abs(e))')} AS max_error,
+               {rounded('1 - avg(e * e) / var_pop(target_next_stock)')} AS r2
+        FROM (SELECT target_next_stock, (target_next_stock - stock)::DOUBLE AS e FROM features)""",
+    "gbt_stump": f"""
+        SELECT s.is_rush_hour, count(*) AS n_rows, {rounded('avg(p)')} AS prediction,
+               {rounded('sqrt(avg((target - p) * (target - p)))')} AS rmse
+        FROM slots s JOIN rush_means m ON s.is_rush_hour = m.is_rush_hour GROUP BY 1""",
+    "gbt_stump_importance": """
+        SELECT feature, CASE WHEN feature = 'is_rush_hour' AND
+                   (SELECT max(p) > min(p) FROM rush_means) THEN 1.0 ELSE 0.0 END::DOUBLE AS importance
+        FROM (SELECT unnest(['station', 'rideable_type', 'is_rush_hour']) AS feature)""",
+    "champion_scores": f"""
+        SELECT is_rush_hour, count(*) AS n_rows, {rounded('avg(p)')} AS prediction,
+               {rounded('sqrt(avg((target - p) * (target - p)))')} AS rmse
+        FROM slot_scores WHERE NOT is_train GROUP BY 1""",
+    "run_log": f"""
+        SELECT {rounded('sqrt(avg((target - p) * (target - p)))')} AS test_rmse,
+               '1' AS rounds, '1' AS depth, true AS has_model
+        FROM slot_scores WHERE NOT is_train""",
+    "backfill_column_drift": f"SELECT {DRIFT} FROM drift",
+    "backfill_drift_summary": f"""
+        SELECT timestamp, sum(is_drift::INTEGER)::INTEGER AS number_of_drifted_columns,
+               {rounded('avg(is_drift::INTEGER)')} AS share_of_drifted_columns,
+               avg(is_drift::INTEGER) > 0.5 AS dataset_drift
+        FROM drift GROUP BY 1""",
+    "backfill_performance": f"""
+        SELECT time::DATE::TIMESTAMP AS timestamp, {rounded('sqrt(avg((target - p) * (target - p)))')} AS rmse,
+               {rounded('avg(abs(target - p))')} AS mae, {rounded('max(abs(target - p))')} AS abs_error_max
+        FROM slot_scores GROUP BY 1""",
     "upsert_keep_first": f"""
         SELECT {PERFORMANCE} FROM (
           SELECT * FROM old_performance

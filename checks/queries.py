@@ -5,8 +5,11 @@ in the shared folder, as a user of the library would do; every query then starts
 from one of them or from a given table.
 """
 
+import io
+import zipfile
 from collections.abc import Callable
 
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,7 +22,7 @@ from checks.oracles import (
     SHIFT,
     TYPES,
 )
-from flowtide.constants import NUMERICAL_FEATURES, TARGET
+from flowtide.constants import CATEGORICAL_FEATURES, NUMERICAL_FEATURES, TARGET
 from flowtide.operators import (
     clean,
     drift,
@@ -34,8 +37,8 @@ from flowtide.operators import (
     stations,
     upsert,
 )
-from flowtide.plans import elt, training
-from flowtide.schemas import MODEL_PERFORMANCE, TRIP
+from flowtide.plans import elt, monitoring, training
+from flowtide.schemas import MODEL_PERFORMANCE, TRIP, TRIP_TEXT
 from flowtide.session import materialize, shared_path, write_table
 from flowtide.sources import tables, trip_files
 from flowtide.sources.events import read_events, trips_from_events
@@ -167,6 +170,34 @@ def metric_table(spark, folder):
     return rounded(table.read(), "rmse", "mae", "abs_error_max")
 
 
+ARCHIVES = 8
+
+
+def zip_trips(spark, folder):
+    """The trips as zip archives in the shared folder, read back."""
+    path = shared_path(spark, "zips")
+
+    def archive(batches):
+        for rows in batches:
+            content = io.BytesIO()
+            with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as packed:
+                lines = [",".join(TRIP_TEXT.names), *rows["line"]]
+                packed.writestr("trips.csv", "\n".join(lines) + "\n")
+                packed.writestr("__MACOSX/trips.csv", "rubbish")
+            storage, place = pyarrow.fs.FileSystem.from_uri(path) if "://" in path else (pyarrow.fs.LocalFileSystem(), path)
+            storage.create_dir(place, recursive=True)
+            with storage.open_output_stream(f"{place}/{rows['part'].iloc[0]}.zip") as out:
+                out.write(content.getvalue())
+            yield rows[["part"]].head(1)
+
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TRIP_TEXT.names]
+    lines = trips(spark, folder).select(
+        F.pmod(F.hash("ride_id"), F.lit(ARCHIVES)).alias("part"), F.concat_ws(",", *fields).alias("line")
+    )
+    lines.groupBy("part").applyInPandas(lambda rows: next(archive(iter([rows]))), "part int").count()
+    return trip_files.read_trip_zips(spark, path)
+
+
 def stg_trips(spark, folder):
     raw = trips(spark, folder)
     return clean.stage_trips(raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]))
@@ -434,6 +465,83 @@ def gbt_fit_score(spark, folder):
     return models.evaluate(training.fit_and_evaluate(feature_rows(spark, folder))[1])
 
 
+def naive_metrics(spark, folder):
+    """The metric set of the models, of the forecast that nothing changes."""
+    scored = feature_rows(spark, folder).withColumn("prediction", F.col("stock").cast("double"))
+    return rounded(models.evaluate(scored), "rmse", "mse", "mae", "max_error", "r2")
+
+
+STUMP = {"rounds": 1, "depth": 1, "inputs": [*CATEGORICAL_FEATURES, "is_rush_hour"]}
+
+
+def _stump_rows(spark, folder):
+    """All series together, slot by slot: the rush hour flag is all that a tree can use."""
+    slots = feature_rows(spark, folder).groupBy("time").agg(
+        F.max("is_rush_hour").alias("is_rush_hour"), F.max("date").alias("date"), F.sum(TARGET).alias(TARGET)
+    )
+    return slots.withColumns({c: F.lit("all") for c in CATEGORICAL_FEATURES})
+
+
+def _by_rush(scored):
+    squared = F.pow(F.col(TARGET) - F.col("prediction"), 2)
+    table = scored.groupBy("is_rush_hour").agg(
+        F.count("prediction").alias("n_rows"),
+        F.avg("prediction").alias("prediction"),
+        F.sqrt(F.avg(squared)).alias("rmse"),
+    )
+    return rounded(table, "prediction", "rmse")
+
+
+def gbt_stump(spark, folder):
+    """One tree of one split: its predictions are the means of two groups."""
+    table = materialize(_stump_rows(spark, folder), "features")
+    return _by_rush(models.score(models.fit_gbt(table, **STUMP), table))
+
+
+def gbt_stump_importance(spark, folder):
+    table = materialize(_stump_rows(spark, folder), "features")
+    return models.feature_importance(models.fit_gbt(table, **STUMP), table)
+
+
+def _trained(spark, folder) -> str:
+    root = shared_path(spark, "models")
+    training.train_and_promote(_stump_rows(spark, folder), root, **STUMP)
+    return root
+
+
+def champion_scores(spark, folder):
+    """Train on the first part, log, save, promote, load, and score the held-out rows."""
+    held_out = split.test_rows(_stump_rows(spark, folder))
+    return _by_rush(training.score_with_champion(spark, _trained(spark, folder), held_out))
+
+
+def run_log(spark, folder):
+    """The metrics of the run log after one run, and whether its model was kept."""
+    root = _trained(spark, folder)
+    runs = training.read_runs(spark, root)
+    table = runs.select(
+        F.col("metrics")[training.METRIC].alias("test_rmse"),
+        F.col("params")["rounds"].alias("rounds"),
+        F.col("params")["depth"].alias("depth"),
+        F.col("model_path").isNotNull().alias("has_model"),
+    )
+    return rounded(table, "test_rmse")
+
+
+def gbt_deep(spark, folder):
+    """The deeper setting, with few rounds, on all stations and types."""
+    model, scored = training.fit_and_evaluate(feature_rows(spark, folder), **models.EXPERIMENT | {"rounds": 3})
+    return models.evaluate(scored)
+
+
+def search_models(spark, folder):
+    """Random search of two settings over two folds: the best setting's error."""
+    found = models.random_search(
+        feature_rows(spark, folder), draws=2, folds=2, rounds=(2, 4), depths=(2, 4), parallelism=2
+    )
+    return models.evaluate(models.score(found.bestModel, feature_rows(spark, folder)))
+
+
 def gbt_importance(spark, folder):
     table = materialize(feature_rows(spark, folder), "features")
     return models.feature_importance(models.fit_gbt(table), table)
@@ -577,6 +685,40 @@ def _old_and_new_performance(spark, folder):
     return old, new
 
 
+def _months(table):
+    """The months that a table has rows of."""
+    return [r["m"] for r in table.select(F.trunc("day", "month").alias("m")).distinct().collect()]
+
+
+def _backfilled(spark, folder, name):
+    root = shared_path(spark, "backfill")
+    reference, current = _drift_sides(spark, folder)
+    current = materialize(feature_rows(spark, folder).join(current.select("day").distinct(), F.to_date("time") == F.col("day"), "left_semi"), "current")
+    for month in _months(drift.with_day(current)):
+        for _ in range(2):  # days already reported stay as they are
+            monitoring.backfill_drift(spark, root, reference.drop("day"), current, month)
+    return tables.ensure_metric_tables(spark, root)[name].read()
+
+
+def backfill_column_drift(spark, folder):
+    return rounded(_backfilled(spark, folder, "column_drift"), "drift_score")
+
+
+def backfill_drift_summary(spark, folder):
+    return rounded(_backfilled(spark, folder, "dataset_summary"), "share_of_drifted_columns")
+
+
+def backfill_performance(spark, folder):
+    """The champion's error by day, for all months."""
+    table = materialize(_stump_rows(spark, folder), "features")
+    root = shared_path(spark, "backfill")
+    model = training.load_champion(spark, _trained(spark, folder))
+    for month in _months(drift.with_day(table)):
+        monitoring.backfill_performance(spark, root, model, table, month)
+    read = tables.ensure_metric_tables(spark, root)["model_performance"].read()
+    return rounded(read, "rmse", "mae", "abs_error_max")
+
+
 def upsert_keep_first(spark, folder):
     merged = upsert.upsert_keep_first(*_old_and_new_performance(spark, folder), ["timestamp"])
     return rounded(merged, "rmse", "mae", "abs_error_max")
@@ -677,6 +819,8 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rows_with_nulls, mixed_types, profile_lines, hist_line_prices, corr_lines, naive_rmse,
         naive_rmse_by_series, best_run, seasonal_decompose, var_fit, var_forecast,
         var_rmse_by_series, gbt_fit_score, gbt_importance, validate_requests, parse_requests,
+        zip_trips, naive_metrics, gbt_stump, gbt_stump_importance, champion_scores, run_log, gbt_deep,
+        search_models, backfill_column_drift, backfill_drift_summary, backfill_performance,
         score_slice, score_error, stockout_alerts, daily_features, month_days, drift_numeric,
         drift_categorical, column_drift, drift_summary, daily_performance, upsert_keep_first,
         upsert_partial, upsert_orders_keep_first, upsert_orders_partial, dash_drift,

@@ -128,19 +128,15 @@ def histogram(
 def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, in one pass over the table.
 
-    A row takes part in the pairs for which it has both values.
+    A row takes part in the pairs for which it has both values. Each pair is one
+    aggregate, so rows are neither repeated nor shuffled.
     """
-    pairs = [
-        F.struct(
-            F.lit(a).alias("column_a"),
-            F.lit(b).alias("column_b"),
-            F.col(a).cast("double").alias("x"),
-            F.col(b).cast("double").alias("y"),
-        )
-        for i, a in enumerate(columns)
-        for b in columns[:i]
-    ]
-    # rows per pair and not one aggregate per pair: few groups, all combined before
-    # the shuffle, and code that does not grow with the square of the columns
-    rows = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
-    return rows.groupBy("column_a", "column_b").agg(F.corr("x", "y").alias("correlation"))
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
+    of = lambda c: F.col(c).cast("double")
+    once = df.agg(*[F.corr(of(a), of(b)).alias(str(k)) for k, (a, b) in enumerate(pairs)])
+    long = once.unpivot([], [F.col(f"`{k}`") for k in range(len(pairs))], "pair", "correlation")
+    named = [F.array(*[F.lit(pair[side]) for pair in pairs]) for side in (0, 1)]
+    at = F.col("pair").cast("int")
+    return long.select(
+        F.get(named[0], at).alias("column_a"), F.get(named[1], at).alias("column_b"), "correlation"
+    )

@@ -74,6 +74,13 @@ def score_with_champion(spark: SparkSession, root: str, features: DataFrame) ->
     return score(load_champion(spark, root), features)
 
 
+def parameters(model: PipelineModel) -> dict[str, str]:
+    """The settings that a model was fitted with, defaults included."""
+    booster = model.stages[-1]
+    named = {"rounds": "maxIter", "depth": "maxDepth", "rate": "stepSize", "seed": "seed", "max_bins": "maxBins"}
+    return {name: str(booster.getOrDefault(param)) for name, param in named.items()}
+
+
 def fit_and_evaluate(
     features: DataFrame, train_fraction: float | None = TRAIN_FRACTION, **options
 ) -> tuple[PipelineModel, DataFrame | None]:
@@ -94,7 +101,7 @@ def train_and_promote(features: DataFrame, root: str, **options) -> tuple[str, f
     spark = features.sparkSession
     model, scored = fit_and_evaluate(features, **options)
     rmse = evaluate(scored).first().rmse
-    params = {k: str(v) for k, v in options.items()}
+    params = parameters(model) | {k: str(v) for k, v in options.items()}
     tags = {"model_type": "gbt"}
     run_id = log_run(spark, root, params, {METRIC: rmse}, tags, model)
     return run_id, rmse, promote_if_best(spark, root, run_id)

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from flowtide.constants import LAG_COLUMNS, TARGET
 from flowtide.operators.reshape import long_to_wide, wide_to_long
 from flowtide.schemas import METRIC_TABLES
+from flowtide.session import delete_path, list_folders, path_exists
 
 STOCK = T.StructType(
     [
@@ -85,36 +86,48 @@ class VersionedTable:
     """A small keyed table whose every write is a new, complete version.
 
     Parquet has no merge, and a table must not be overwritten while it is read: a
-    version is a partition folder, readers take the highest.
+    version is a folder, and readers take the highest one that its writer has closed
+    with a success mark. A version may be empty. The last ``keep`` versions stay, for
+    readers that have begun; older ones are deleted.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark, self.path, self.schema = spark, path, schema
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keep: int = 3):
+        self.spark, self.path, self.schema, self.keep = spark, path, schema, keep
 
-    def _all(self) -> DataFrame:
-        schema = T.StructType([*self.schema, T.StructField("version", T.LongType())])
-        return self.spark.read.schema(schema).parquet(self.path)
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/version={version}"
+
+    def _versions(self) -> list[int]:
+        """All versions, torn ones too, from the names of their folders."""
+        names = list_folders(self.spark, self.path)
+        return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
 
     def create_if_absent(self) -> None:
-        try:
-            self._all().limit(0).collect()
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
+        if self.version() is None:
             self._write(self.spark.createDataFrame([], self.schema), 0)
 
-    def version(self) -> int:
-        return self._all().agg(F.max("version")).first()[0] or 0
+    def version(self) -> int | None:
+        """The current version: the highest that is complete."""
+        for version in reversed(self._versions()):
+            if path_exists(self.spark, f"{self._folder(version)}/_SUCCESS"):
+                return version
+        return None
 
     def read(self) -> DataFrame:
-        return self._all().where(F.col("version") == self.version()).drop("version")
+        version = self.version()
+        if version is None:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self._folder(version))
 
     def replace(self, rows: DataFrame) -> None:
-        self._write(rows, self.version() + 1)
+        versions = self._versions()
+        self._write(rows, versions[-1] + 1 if versions else 0)
+        for old in self._versions()[: -self.keep]:
+            delete_path(self.spark, self._folder(old))
 
     def _write(self, rows: DataFrame, version: int) -> None:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]
-        rows.select(*columns).write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        rows.select(*columns).write.mode("overwrite").parquet(self._folder(version))
 
 
 def ensure_metric_tables(spark: SparkSession, root: str) -> dict[str, VersionedTable]:

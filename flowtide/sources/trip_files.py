@@ -31,12 +31,14 @@ def read_trip_zips(spark: SparkSession, paths: str | list[str], strict: bool = T
     """Trips out of zip archives that lie on storage, one archive per task.
 
     Only CSV members count; the copies some archives keep under ``__MACOSX`` do
-    not. An archive is decompressed as a stream.
+    not. An archive is read in the task that decompresses it, as a stream; its
+    content is not shuffled.
     """
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(paths)
-    # an archive cannot be split: spread them so that no task gets several by chance
-    spread = archives.select("content", "path").repartition("path")
-    return stage_trips(spread.select("content").mapInArrow(_expand, TRIP_TEXT), strict)
+    # a file costs as much as a full partition to open, so none shares its task
+    alone = spark.newSession()
+    alone.conf.set("spark.sql.files.openCostInBytes", alone.conf.get("spark.sql.files.maxPartitionBytes"))
+    archives = alone.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(paths)
+    return stage_trips(archives.select("content").mapInArrow(_expand, TRIP_TEXT), strict)
 
 
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

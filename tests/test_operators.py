@@ -396,11 +396,17 @@ def test_drift_equals_numpy(spark):
 
 def test_upserts(spark):
     old = spark.createDataFrame([(1, 10, 100), (2, 20, None)], "k int, a int, b int")
-    new = spark.createDataFrame([(2, 21, 201), (3, 31, 301), (3, 30, 300)], "k int, a int, b int")
-    first = upsert.upsert_keep_first(old, new, ["k"])
-    assert sorted(map(tuple, first.collect())) == [(1, 10, 100), (2, 20, None), (3, 30, 300)]
-    partial = upsert.upsert_partial(old, new, ["k"], ["a"])
-    assert sorted(map(tuple, partial.collect())) == [(1, 10, 100), (2, 21, None), (3, 30, 300)]
+    rows = [(2, 21, 201, 1), (3, 9, 309, 1), (3, 3, 303, 2), (3, 7, 307, 3)]
+    new = spark.createDataFrame(rows, "k int, a int, b int, at int")
+    first = upsert.upsert_keep_first(old, new, ["k"], order="at")
+    assert sorted(map(tuple, first.collect())) == [(1, 10, 100), (2, 20, None), (3, 9, 309)]
+    partial = upsert.upsert_partial(old, new, ["k"], ["a"], order="at")
+    assert sorted(map(tuple, partial.collect())) == [(1, 10, 100), (2, 21, None), (3, 7, 309)]
+    single = upsert.upsert_partial(old, new.where("k = 2"), ["k"], ["a"])
+    assert sorted(map(tuple, single.collect())) == [(1, 10, 100), (2, 21, None)]
+    for merge in (upsert.upsert_keep_first, lambda *a: upsert.upsert_partial(*a, ["a"])):
+        with pytest.raises(Exception, match="repeated keys"):
+            merge(old, new, ["k"]).collect()
 
 
 def test_days_of_a_leap_february(spark):
