@@ -256,6 +256,24 @@ STEPS = {
                avg(abs(target_next_stock - stock)) AS mae,
                max(abs(target_next_stock - stock))::DOUBLE AS abs_error_max
         FROM features GROUP BY 1""",
+    "total": "SELECT time, sum(stock)::BIGINT AS stock FROM stock GROUP BY 1",
+    "total_changes": """
+        SELECT time, stock, lag(stock) OVER (ORDER BY time) AS previous,
+               (stock - lag(stock) OVER (ORDER BY time))::DOUBLE AS y,
+               time < (SELECT min(time) + INTERVAL 15 MINUTE * floor(0.8e0 * count(*))::INTEGER FROM total) AS in_training
+        FROM total""",
+    "total_diffs": "SELECT *, lag(y) OVER (ORDER BY time) AS x FROM total_changes",
+    # least squares of a change on the one before it, and the mean alone
+    "var_sums": """
+        SELECT count(*)::DOUBLE AS n, avg(y) AS y_mean, avg(x) AS x_mean, var_pop(y) AS sigma0,
+               covar_pop(y, x) / var_pop(x) AS slope, var_pop(y) - covar_pop(y, x) ** 2 / var_pop(x) AS sigma1
+        FROM total_diffs WHERE in_training AND x IS NOT NULL AND y IS NOT NULL""",
+    "var_fits": """
+        SELECT *, ln(sigma1) + 2e0 / n * 2 AS aic1, ln(sigma0) + 2e0 / n AS aic0,
+               (SELECT avg(y) FROM total_diffs WHERE in_training) AS every_mean,
+               (SELECT var_pop(y) FROM total_diffs WHERE in_training) AS every,
+               (SELECT count(y)::DOUBLE FROM total_diffs WHERE in_training) AS n_every
+        FROM var_sums""",
     "slots": """
         SELECT time, max(is_rush_hour) AS is_rush_hour, sum(target_next_stock)::DOUBLE AS target
         FROM features GROUP BY 1""",
@@ -272,9 +290,10 @@ STEPS = {
         FROM performance WHERE timestamp < TIMESTAMP '2024-01-21'""",
     "new_performance": "SELECT * FROM performance WHERE timestamp >= TIMESTAMP '2024-01-15'",
     "old_orders": """
-        SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'""",
+        SELECT * REPLACE (o_orderdate::TIMESTAMP AS o_orderdate) FROM orders WHERE o_orderstatus = 'F'""",
     "new_orders": """
-        SELECT o_orderkey, 'N' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders""",
+        SELECT * REPLACE (o_orderdate::TIMESTAMP AS o_orderdate, 'N' AS o_orderstatus,
+                          o_totalprice + 1 AS o_totalprice) FROM orders""",
     "arriving": """
         SELECT started_at AS time, start_station_name AS station, rideable_type, -1 AS flow FROM complete
         UNION ALL
@@ -398,6 +417,32 @@ ORACLES = {
         SELECT {TRIP_COLUMNS} FROM trips
         WHERE start_station_name IN (SELECT station FROM top_both)
            OR end_station_name IN (SELECT station FROM top_both)""",
+    "publish_next_year": "SELECT "
+    + re.sub(r"\b(started_at|ended_at)\b", r"\1 + INTERVAL 366 DAYS AS \1", TRIP_COLUMNS)
+    + f""" FROM trips
+        WHERE rideable_type = '{TYPES[0]}' AND (start_station_name IN (SELECT station FROM top_both)
+           OR end_station_name IN (SELECT station FROM top_both))""",
+    "published_stations": "SELECT * FROM top_both",
+    "published_staging": f"SELECT {TRIP_COLUMNS} FROM trips",
+    "validate_months": f"""
+        SELECT station, rideable_type, target_date, TRY_CAST(target_date AS DATE) AS target_day,
+               coalesce(CASE WHEN station NOT IN (SELECT station FROM top_both)
+                             THEN 'unknown station' END, reject_reason) AS reject_reason
+        FROM (SELECT station, rideable_type, target_date, reject_reason FROM ({REQUEST_ROWS})
+              UNION ALL
+              SELECT station, rideable_type, '2024-12-' || substr(target_date, 9, 2),
+                     coalesce(reject_reason, 'wrong month')
+              FROM ({REQUEST_ROWS}) WHERE target_date LIKE '2024-%')""",
+    "var_total": f"""
+        SELECT CASE WHEN aic1 < aic0 THEN 1 ELSE 0 END AS lag_order, 1 AS n_series,
+               {rounded('CASE WHEN aic1 < aic0 THEN aic1 ELSE ln(every) + 2e0 / n_every END')} AS aic,
+               {rounded('CASE WHEN aic1 < aic0 THEN ln(sigma1) + ln(n) / n * 2 ELSE ln(every) + ln(n_every) / n_every END')} AS bic
+        FROM var_fits""",
+    "var_total_forecast": f"""
+        SELECT time, 'all' AS station, 'all' AS rideable_type, stock AS actual,
+               {rounded('CASE WHEN aic1 < aic0 THEN previous + slope * x + y_mean - slope * x_mean ELSE previous + every_mean END')} AS predicted
+        FROM total_diffs, var_fits
+        WHERE NOT in_training AND y IS NOT NULL AND (x IS NOT NULL OR aic1 >= aic0)""",
     "stored_stock": "SELECT *, time::DATE AS day FROM stock",
     "stored_features": f"SELECT {FEATURE_COLUMNS} FROM features",
     "wide_csv": "SELECT * FROM stock_all",
@@ -477,11 +522,12 @@ ORACLES = {
         FROM (SELECT t.*, m - avg(m) OVER (PARTITION BY station, rideable_type, time::DATE) AS seasonal
               FROM trend t JOIN phase_means USING (station, rideable_type, phase))""",
     "sequences": """
-        SELECT time, station, rideable_type, array_to_string(w, ',') AS stocks,
+        SELECT time, station, rideable_type, array_to_string(w, ',') AS stocks, """
+    + f"{rounded('hours')} AS hours, {rounded('dates')} AS dates," + """
                target_next_stock AS target
-        FROM (SELECT *, list(stock) OVER (PARTITION BY station, rideable_type ORDER BY time
-                                          ROWS BETWEEN 96 PRECEDING AND 1 PRECEDING) AS w
-              FROM features) WHERE len(w) = 96""",
+        FROM (SELECT *, list(stock) OVER before AS w, sum(hour) OVER before AS hours, sum(date) OVER before AS dates
+              FROM features WINDOW before AS (PARTITION BY station, rideable_type ORDER BY time
+                                              ROWS BETWEEN 96 PRECEDING AND 1 PRECEDING)) WHERE len(w) = 96""",
     "one_hot": "SELECT started_at, ended_at, "
     + ", ".join(f"(start_station_name = '{s}')::INTEGER AS start_station_name_{s}" for s in EVENT_TYPES)
     + ", "
@@ -601,14 +647,16 @@ ORACLES = {
                  coalesce(o.abs_error_max, n.abs_error_max) AS abs_error_max
           FROM old_performance o FULL JOIN new_performance n ON o.timestamp = n.timestamp)""",
     "upsert_orders_keep_first": """
-        SELECT o_orderkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice FROM (
+        SELECT * REPLACE (round(o_totalprice, 6) AS o_totalprice) FROM (
           SELECT * FROM old_orders
           UNION ALL
           SELECT * FROM new_orders
           WHERE o_orderkey NOT IN (SELECT o_orderkey FROM old_orders))""",
     "upsert_orders_partial": """
         SELECT o_orderkey, coalesce(n.o_orderstatus, o.o_orderstatus) AS o_orderstatus,
-               round(coalesce(o.o_totalprice, n.o_totalprice), 6) AS o_totalprice
+               round(coalesce(o.o_totalprice, n.o_totalprice), 6) AS o_totalprice,
+               coalesce(o.o_custkey, n.o_custkey) AS o_custkey, coalesce(o.o_orderdate, n.o_orderdate) AS o_orderdate,
+               coalesce(o.o_orderpriority, n.o_orderpriority) AS o_orderpriority
         FROM old_orders o FULL JOIN new_orders n USING (o_orderkey)""",
     "dash_drift": f"""
         SELECT timestamp AS time, {rounded('drift_score')} AS drift_score, column_name FROM drift
@@ -632,7 +680,8 @@ ORACLES = {
     "profile_lines": _profile(
         "lineitem",
         {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
-         **{c: "double" for c in LINE_NUMBERS}, "l_returnflag": "string", "l_linestatus": "string"},
+         **{c: "double" for c in LINE_NUMBERS}, "l_returnflag": "string", "l_linestatus": "string",
+         "l_shipdate": "timestamp_ntz"},
         "count({c}) AS non_null_count",
         True,
     ),
@@ -654,6 +703,7 @@ DATES = {
     "stored_stock": ["day"],
     "stream_alerts": ["day"],
     "stream_daily_stock": ["day"],
+    "validate_months": ["target_day"],
     "validate_requests": ["target_day"],
 }
 LAGS = ["lag_15m_stock", "lag_30m_stock", "lag_45m_stock", "lag_60m_stock"]

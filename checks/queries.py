@@ -139,9 +139,30 @@ def refresh_trips(spark, folder):
     return spark.read.schema(TRIP).parquet(path)
 
 
+def _published(spark, folder):
+    """Two years of trips: the table's own, and the same a year later."""
+    this = trips(spark, folder)
+    year = F.expr("INTERVAL 366 DAYS")
+    moved = this.withColumns({c: F.col(c) + year for c in ("started_at", "ended_at")})
+    moved = moved.where(F.col("rideable_type") == TYPES[0])
+    return elt.publish_models(spark, {2024: this, 2025: moved}, 2024, shared_path(spark, "marts"))
+
+
 def publish_models(spark, folder):
-    marts = elt.publish_models(spark, {2024: trips(spark, folder)}, 2024, shared_path(spark, "marts"))
-    return marts["fct_2024_top_trips"]
+    return _published(spark, folder)["fct_2024_top_trips"]
+
+
+def publish_next_year(spark, folder):
+    """The next year's trips at the busiest stations of the year before."""
+    return _published(spark, folder)["fct_2025_top_trips"]
+
+
+def published_stations(spark, folder):
+    return _published(spark, folder)["int_top_stations"]
+
+
+def published_staging(spark, folder):
+    return _published(spark, folder)["stg_trips_2024"]
 
 
 def stored_stock(spark, folder):
@@ -344,10 +365,13 @@ def minmax_restore(spark, folder):
 
 def sequences(spark, folder):
     windows = features.sequences(feature_rows(spark, folder), ["stock", "hour", "date"])
-    stocks = F.transform("window", lambda w: w["stock"].cast("string"))
-    return windows.select(
-        "time", "station", "rideable_type", F.array_join(stocks, ",").alias("stocks"), "target"
-    )
+    text = lambda name: F.array_join(F.transform("window", lambda w: w[name].cast("string")), ",")
+    total = lambda name: F.aggregate("window", F.lit(0.0), lambda s, w: s + w[name])
+    table = windows.select(
+        "time", "station", "rideable_type", text("stock").alias("stocks"),
+        total("hour").alias("hours"), total("date").alias("dates"), "target",
+    )
+    return rounded(table, "hours", "dates")
 
 
 # --- profiles -----------------------------------------------------------------------
@@ -402,8 +426,9 @@ def mixed_types(spark, folder):
 
 
 def profile_lines(spark, folder):
-    columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *LINE_NUMBERS, "l_returnflag", "l_linestatus"]
-    return profile.profile(line_items(spark, folder).select(*columns))
+    lines = line_items(spark, folder)
+    # a type's name depends on who reads the file: both times are without a zone here
+    return profile.profile(lines.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz")))
 
 
 def hist_line_prices(spark, folder):
@@ -443,6 +468,24 @@ def seasonal_decompose(spark, folder):
     return rounded(parts, "trend", "seasonal", "residual")
 
 
+def _total_stock(spark, folder):
+    """One series: the stock of all stations and types together."""
+    total = stock(spark, folder).groupBy("time").agg(F.sum("stock").alias("stock"))
+    return total.select("time", F.lit("all").alias("station"), F.lit("all").alias("rideable_type"), "stock")
+
+
+def var_total(spark, folder):
+    """One lag of one series: the fit has a closed form."""
+    series_ = materialize(_total_stock(spark, folder), "total")
+    model = forecast.fit_var(series_, max_lags=1)
+    return rounded(forecast.var_summary(series_, model), "aic", "bic")
+
+
+def var_total_forecast(spark, folder):
+    series_ = materialize(_total_stock(spark, folder), "total")
+    return rounded(forecast.var_forecast(series_, forecast.fit_var(series_, max_lags=1)), "predicted")
+
+
 def var_fit(spark, folder):
     series_ = stock(spark, folder)
     return forecast.var_criteria(series_, forecast.fit_var(series_))
@@ -575,6 +618,15 @@ def raw_requests(spark, folder):
     return asked.select(F.explode(F.array(*options)).alias("r")).select("r.*")
 
 
+def validate_months(spark, folder):
+    """The same requests and as many for December, where the last month is November."""
+    december = F.concat(F.lit("2024-12-"), F.substring("target_date", 9, 2))
+    asked = raw_requests(spark, folder)
+    late = asked.where(F.col("target_date").startswith("2024-")).withColumn("target_date", december)
+    known = top_stations_both(spark, folder)
+    return requests.validate_requests(asked.unionByName(late), known, year=2024, max_month=11)
+
+
 def validate_requests(spark, folder):
     known = top_stations_both(spark, folder)
     return requests.validate_requests(raw_requests(spark, folder), known, year=2024)
@@ -732,11 +784,9 @@ def upsert_partial(spark, folder):
 
 def _old_and_new_orders(spark, folder):
     orders = spark.read.parquet(f"{folder}/orders.parquet")
-    columns = ["o_orderkey", "o_orderstatus", "o_totalprice"]
-    new = orders.select(
-        "o_orderkey", F.lit("N").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice")
-    )
-    return orders.where(F.col("o_orderstatus") == "F").select(*columns), new
+    orders = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+    new = orders.withColumns({"o_orderstatus": F.lit("N"), "o_totalprice": F.col("o_totalprice") + 1})
+    return orders.where(F.col("o_orderstatus") == "F"), new
 
 
 def upsert_orders_keep_first(spark, folder):
@@ -809,7 +859,8 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         scan_trips, append_trips, refresh_trips, publish_models, stored_stock, stored_features,
-        wide_csv, metric_table, stg_trips, parse_ts, drop_nulls, drop_nulls_subset, duration_stats,
+        publish_next_year, published_stations, published_staging, validate_months, var_total,
+        var_total_forecast, wide_csv, metric_table, stg_trips, parse_ts, drop_nulls, drop_nulls_subset, duration_stats,
         duration_outliers, starts_by_station, ends_by_station, top_stations_both,
         top_stations_starts, top_station_trips, station_flows, net_flow_all_stations,
         grid_bounds, time_grid, dense_net_flow, stock_series, stock_all_stations, stock_wide,

@@ -106,7 +106,9 @@ class VarModel:
     lag_order: int
     intercept: np.ndarray  # one per series
     coefficients: np.ndarray  # series x (lag_order * series), most recent lag first
-    criteria: tuple[tuple[int, float, float], ...]  # lag order, AIC, BIC
+    criteria: tuple[tuple[int, float, float], ...]  # lag order, AIC, BIC on the common sample
+    aic: float = math.nan  # of the final fit, which has more rows
+    bic: float = math.nan
 
 
 def var_design(
@@ -178,16 +180,19 @@ def fit_var(
     k = len(names)
     gram = _gram(var_design(stock, names, max_lags, fraction))
     n = gram[0, 0]
-    criteria = []
-    for p in range(max_lags + 1):
-        sigma = _solve(gram, p, k)[1] / n
-        log_det = np.linalg.slogdet(sigma)[1]
-        free = p * k * k + k
-        criteria.append((p, log_det + 2.0 / n * free, log_det + math.log(n) / n * free))
+    criteria = [(p, *_information(_solve(gram, p, k)[1], n, p)) for p in range(max_lags + 1)]
     order = min(criteria, key=lambda c: c[1])[0]
     final = _gram(var_design(stock, names, order, fraction)) if order < max_lags else gram
-    beta, _ = _solve(final, order, k)
-    return VarModel(names, order, beta[0], beta[1:].T, tuple(criteria))
+    beta, left = _solve(final, order, k)
+    return VarModel(names, order, beta[0], beta[1:].T, tuple(criteria), *_information(left, final[0, 0], order))
+
+
+def _information(residual: np.ndarray, n: float, order: int) -> tuple[float, float]:
+    """AIC and BIC from the residual cross products of ``n`` rows."""
+    k = len(residual)
+    log_det = np.linalg.slogdet(residual / n)[1]
+    free = order * k * k + k
+    return log_det + 2.0 / n * free, log_det + math.log(n) / n * free
 
 
 def _gram(design: DataFrame) -> np.ndarray:
@@ -207,6 +212,12 @@ def _solve(gram: np.ndarray, order: int, k: int) -> tuple[np.ndarray, np.ndarray
     return beta, gram[np.ix_(y, y)] - zy.T @ beta
 
 
+def var_summary(stock: DataFrame, model: VarModel) -> DataFrame:
+    """One row: the chosen order, and AIC and BIC of the final fit."""
+    row = (model.lag_order, len(model.names), float(model.aic), float(model.bic))
+    return stock.sparkSession.createDataFrame([row], "lag_order int, n_series int, aic double, bic double")
+
+
 def var_criteria(stock: DataFrame, model: VarModel) -> DataFrame:
     """AIC and BIC per lag order and which order was chosen."""
     rows = [(p, float(a), float(b), p == model.lag_order) for p, a, b in model.criteria]

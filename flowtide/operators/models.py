@@ -30,7 +30,7 @@ from flowtide.constants import (
     TARGET,
 )
 from flowtide.operators.split import ordered_folds
-from flowtide.session import materialize, shared_folder
+from flowtide.session import materialize, scratch, shared_folder
 
 
 MIN_BINS = 128
@@ -160,6 +160,11 @@ def random_search(
     The folds are contiguous blocks of rows in time order. Rounds and depths are
     drawn below their upper bound, rates up to it. ``features`` has its ``time``.
     """
+    with scratch(features.sparkSession):
+        return _search(features, draws, folds, parallelism, rounds, depths, rates, seed, inputs)
+
+
+def _search(features, draws, folds, parallelism, rounds, depths, rates, seed, inputs) -> CrossValidatorModel:
     stored = materialize(features, "search")
     blocks = materialize(ordered_folds(stored, folds), "folds")
     pipeline, blocks = _ready(gbt_pipeline(seed=seed, inputs=inputs), blocks)

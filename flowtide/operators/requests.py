@@ -90,15 +90,16 @@ def score_slice(
     one), so requests meet it in plain equi-joins, with no range condition.
     """
     wanted = requests.select(*SERIES, "target_day").distinct()
-    # only the wanted days and the evenings before them are sorted; where the
+    # only the wanted days and the last hours before them are sorted; where the
     # history is stored by day, the others are not even read
-    needed = wanted.select(
-        *SERIES, F.explode(F.array("target_day", F.date_sub("target_day", 1))).alias("day")
-    ).distinct()
+    before, whole = (F.col("target_day"), F.lit(True)), (F.date_sub("target_day", 1), F.lit(False))
+    sides = F.array(*[F.struct(day.alias("day"), all_of.alias("whole")) for day, all_of in (before, whole)])
+    needed = wanted.select(*SERIES, F.explode(sides).alias("d")).select(*SERIES, "d.*")
+    needed = needed.groupBy(*SERIES, "day").agg(F.max("whole").alias("whole"))
     stored_day = F.col("day") if "day" in history.columns else F.to_date("time")
-    near = history.select("time", *SERIES, "stock", stored_day.alias("day")).join(
-        needed, [*SERIES, "day"], "left_semi"
-    )
+    evening = F.hour("time") >= 24 - LOOKBACK_HOURS
+    near = history.select("time", *SERIES, "stock", stored_day.alias("day")).join(needed, [*SERIES, "day"])
+    near = near.where(F.col("whole") | evening).drop("whole")
     along = W.partitionBy(*SERIES).orderBy("time")
     earliest = floor_day("time") - F.expr(f"INTERVAL {LOOKBACK_HOURS} HOURS")
     lagged = near.select(

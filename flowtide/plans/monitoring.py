@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from flowtide.operators.drift import column_drift, daily_performance, drift_summary, with_day
 from flowtide.operators.models import score
 from flowtide.operators.upsert import upsert_keep_first, upsert_partial
-from flowtide.session import materialize
+from flowtide.session import materialize, scratch
 from flowtide.schemas import METRIC_TABLES
 from flowtide.sources.tables import ensure_metric_tables
 
@@ -30,16 +30,17 @@ def backfill_drift(
     number of drifted columns is refreshed.
     """
     tables = ensure_metric_tables(spark, root)
-    drift = materialize(column_drift(reference, days_of_month(current, month)), "drift")
-    summary = drift_summary(drift)
     keys = {name: list(key) for name, (_, key) in METRIC_TABLES.items()}
     columns, summaries = tables["column_drift"], tables["dataset_summary"]
-    columns.replace(upsert_keep_first(columns.read(), drift, keys["column_drift"]))
-    summaries.replace(
-        upsert_partial(
-            summaries.read(), summary, keys["dataset_summary"], ["number_of_drifted_columns"]
+    with scratch(spark):
+        drift = materialize(column_drift(reference, days_of_month(current, month)), "drift")
+        summary = drift_summary(drift)
+        columns.replace(upsert_keep_first(columns.read(), drift, keys["column_drift"]))
+        summaries.replace(
+            upsert_partial(
+                summaries.read(), summary, keys["dataset_summary"], ["number_of_drifted_columns"]
+            )
         )
-    )
 
 
 def backfill_performance(

@@ -20,15 +20,21 @@ def stockout_alerts(
     model: PipelineModel,
     initial_stock: int = INITIAL_STOCK,
     step: int = ALERT_STEP,
+    fill: bool = False,
 ) -> DataFrame:
     """Valid requests with the times at which a stock-out is to be expected.
 
-    Equal requests are scored once, and every slot of their day is.
+    Equal requests are scored once. The slots before the history is long enough for
+    their lags have no prediction; ``fill`` makes up their lags from later slots.
     """
-    scored = score(model, fill_lags(score_slice(requests, history)))
+    rows = score_slice(requests, history)
+    scored = score(model, fill_lags(rows) if fill else rows)
     return answer_requests(requests, alert_times(scored, initial_stock, step))
 
 
-def one_step_forecast(requests: DataFrame, history: DataFrame, model: PipelineModel) -> DataFrame:
+def one_step_forecast(
+    requests: DataFrame, history: DataFrame, model: PipelineModel, fill: bool = False
+) -> DataFrame:
     """Actual and predicted stock and the error per slot of each requested day."""
-    return score_error(score(model, fill_lags(score_slice(requests, history))))
+    rows = score_slice(requests, history)
+    return score_error(score(model, fill_lags(rows) if fill else rows))

@@ -11,7 +11,7 @@ from flowtide.constants import TRAIN_FRACTION
 from flowtide.operators.models import evaluate, fit_gbt, score
 from flowtide.operators.split import ordered_split
 from flowtide.schemas import CHAMPION, RUN_LOG
-from flowtide.session import materialize
+from flowtide.session import materialize, scratch
 
 METRIC = "test_rmse"
 
@@ -99,8 +99,9 @@ def fit_and_evaluate(
 def train_and_promote(features: DataFrame, root: str, **options) -> tuple[str, float, bool]:
     """One training run: fit, evaluate, log, promote when best."""
     spark = features.sparkSession
-    model, scored = fit_and_evaluate(features, **options)
-    rmse = evaluate(scored).first().rmse
+    with scratch(spark):
+        model, scored = fit_and_evaluate(features, **options)
+        rmse = evaluate(scored).first().rmse
     params = parameters(model) | {k: str(v) for k, v in options.items()}
     tags = {"model_type": "gbt"}
     run_id = log_run(spark, root, params, {METRIC: rmse}, tags, model)

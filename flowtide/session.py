@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,9 +53,29 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/flowtide/{label}-{uuid.uuid4().hex}"
 
 
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that are written inside, once all that reads them is done.
+
+    For jobs that end in tables or models of their own. A result that is still lazy
+    must not leave the block.
+    """
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            drop_table(spark, path)
+
+
 def write_table(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> str:
     """Write ``df`` as a table in the shared folder. Returns its path."""
     path = shared_path(df.sparkSession, label)
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     return path
 

@@ -7,7 +7,6 @@ pair is where and when a trip starts, the second where and when it ends.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtide.functions.calendar import slot
 from flowtide.operators.bucketed import running_over_buckets
 from flowtide.schemas import TRIP
 
@@ -16,14 +15,14 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     """Trip records with the declared 13 columns.
 
     One user may own a large part of the log, so the numbering and the look-ahead
-    go over minute buckets and never sort a whole user in one task.
+    go over the user's days and never sort a whole user in one task.
     """
     numbered = running_over_buckets(
         events.select(
-            "user_id", "ts", "event_id", "event_type", slot("ts", 1).alias("minute")
+            "user_id", "ts", "event_id", "event_type", F.to_date("ts").alias("day")
         ),
         group=["user_id"],
-        bucket="minute",
+        bucket="day",
         order=["ts", "event_id"],
         sums={"position": F.lit(1)},
         leads={"next_ts": "ts", "next_type": "event_type"},
