@@ -337,7 +337,8 @@ def build_features(spark, folder):
 
 
 def time_split(spark, folder):
-    return split.ordered_split(feature_rows(spark, folder))
+    # the split passes over its rows more than once, so they are stored first
+    return split.ordered_split(materialize(feature_rows(spark, folder), "features"))
 
 
 def stock_diff(spark, folder):

@@ -4,9 +4,11 @@ All days of a period are computed in one job: rows are reduced to counts per
 (day, column, value) first, and everything after works on those counts.
 """
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowtide.constants import (
@@ -165,18 +167,28 @@ def numeric_drift(counts: DataFrame, buckets_per_deviation: int = 16) -> DataFra
 
 
 def categorical_drift(counts: DataFrame) -> DataFrame:
-    """Jensen-Shannon distance (natural logarithm) of the shares per day and column."""
-    paired = _paired(counts, "label")
-    p = F.col("n_ref") / F.col("total_ref")
-    q = F.col("n_cur") / F.col("total_cur")
-    middle = (p + q) / F.lit(2.0)
-
-    def part(share):
-        return F.when(share > 0, share * F.ln(share / middle)).otherwise(F.lit(0.0))
+    """Jensen-Shannon distance (natural logarithm) of the shares per day and column.
 
-    divergence = F.sum(part(p) + part(q)) / F.lit(2.0)
+    A day brings its own labels only. What the reference has besides them adds its
+    share times ln 2, whatever the labels are, so no label is copied to a day. A column
+    without any label that day has no score.
+    """
+    known = counts.where(F.col("label").isNotNull())
+    share = lambda keys: F.col("n") / F.sum("n").over(W.partitionBy(*keys))
+    # one row per label: both windows hold a column's labels, not its rows
+    reference = known.where(F.col("day").isNull()).select(
+        "column_name", "label", share(["column_name"]).alias("p")
+    )
+    current = known.where(F.col("day").isNotNull()).select(
+        "day", "column_name", "label", share(["day", "column_name"]).alias("q")
+    )
+    p, q = F.coalesce("p", F.lit(0.0)), F.col("q")
+    middle = (p + q) / F.lit(2.0)
+    part = lambda x: F.when(x > 0, x * F.ln(x / middle)).otherwise(F.lit(0.0))
+    unseen = F.greatest(F.lit(1.0) - F.sum(p), F.lit(0.0)) * F.lit(math.log(2.0))
+    divergence = (F.sum(part(p) + part(q)) + unseen) / F.lit(2.0)
     return (
-        paired.join(_totals(paired), ["day", "column_name"])
+        current.join(reference, ["column_name", "label"], "left")
         .groupBy("day", "column_name")
         .agg(F.sqrt(F.greatest(divergence, F.lit(0.0))).alias("drift_score"))
     )
