@@ -82,35 +82,6 @@ def value_counts_by_day(
     return known.groupBy("day", "column_name", "value", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _paired(counts: DataFrame, value: str) -> DataFrame:
-    """Counts of every value in the reference and in each day, side by side.
-
-    The reference counts go to every day, as in each day's own comparison. A value
-    of both sides is one row.
-    """
-    counts = counts.where(F.col(value).isNotNull())
-    # the days of a period: a few hundred at most, whatever the number of rows
-    days = counts.agg(F.array_sort(F.collect_set("day"))).scalar()
-    zero = F.lit(0).cast("bigint")
-    on_reference = F.col("day").isNull()
-    sides = counts.select(
-        F.explode(F.when(on_reference, days).otherwise(F.array("day"))).alias("day"),
-        "column_name",
-        value,
-        F.when(on_reference, F.col("n")).otherwise(zero).alias("n_ref"),
-        F.when(on_reference, zero).otherwise(F.col("n")).alias("n_cur"),
-    )
-    return sides.groupBy("day", "column_name", value).agg(
-        F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")
-    )
-
-
-def _totals(paired: DataFrame) -> DataFrame:
-    return paired.groupBy("day", "column_name").agg(
-        F.sum("n_ref").alias("total_ref"), F.sum("n_cur").alias("total_cur")
-    )
-
-
 def _deviations(counts: DataFrame) -> DataFrame:
     """Population deviation of each reference column, never below the smallest spread."""
     reference = counts.where(F.col("day").isNull() & F.col("value").isNotNull())
@@ -126,42 +97,121 @@ def _deviations(counts: DataFrame) -> DataFrame:
     )
 
 
-def numeric_drift(counts: DataFrame, buckets_per_deviation: int = 16) -> DataFrame:
-    """First Wasserstein distance per day and column, in reference deviations.
+def _areas(counts: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Reference and current values with the reference's share up to them and the area
+    below that share: its integral up to the value, which is value * share less the sum
+    of the values up to it over the number of rows.
 
-    ``counts`` come from :func:`value_counts_by_day`. The distance is the area
-    between both cumulative shares over the values. The cumulative counts go over
-    buckets of values, so a column with very many distinct values is not sorted
-    in one task.
+    Both kinds of values are sorted together, once, over buckets between quantiles of
+    the reference, so that a long tail is no fuller bucket than any other.
     """
-    paired = _paired(counts, "value")
-    scaled = paired.join(_deviations(counts), "column_name").select(
+    known = counts.where(F.col("value").isNotNull())
+    is_reference = F.col("day").isNull()
+    reference = known.where(is_reference)
+    steps = F.array(*[F.lit(k / buckets) for k in range(1, buckets)])
+    columns = reference.groupBy("column_name").agg(
+        F.sum("n").alias("rows"),
+        (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"),
+        F.percentile_approx("value", steps, 10_000).alias("bounds"),
+    )
+    placed = known.join(columns, "column_name").select(
         "day",
         "column_name",
         "value",
-        "n_ref",
-        "n_cur",
-        "std",
-        F.floor(F.col("value") / F.col("std") * F.lit(buckets_per_deviation)).alias("bucket"),
+        "n",
+        "rows",
+        "mean",
+        is_reference.alias("is_reference"),
+        F.size(F.filter("bounds", lambda b: b < F.col("value"))).alias("bucket"),
+    )
+    own = F.when(F.col("is_reference"), F.col("n")).otherwise(0)
+    summed = running_over_buckets(
+        # at an equal value the reference comes first: the shares include it
+        placed.withColumn("later", ~F.col("is_reference")),
+        group=["column_name"],
+        bucket="bucket",
+        order=["value", "later", "day"],
+        sums={"upto_n": own, "upto_sum": own * F.col("value")},
+        leads={},
     )
-    running = running_over_buckets(
-        scaled,
+    share = F.col("upto_n") / F.col("rows")
+    area = F.col("value") * share - F.col("upto_sum") / F.col("rows")
+    points = summed.withColumns({"share": share, "area": area})
+    return points.where("is_reference"), points.where(~F.col("is_reference"))
+
+
+def _crossings(reference: DataFrame, queries: DataFrame, buckets: int) -> DataFrame:
+    """``queries`` with ``cross``: the first reference value whose share is not below
+    ``upto``, and its area.
+
+    Values grow with their shares, so it is the least one among those that follow; a
+    bucket of shares finds it within, or in the nearest later bucket that has any.
+    """
+    bucket = F.floor(F.col("at") * buckets)
+    columns = ["column_name", "at", "target", "row"]
+    marks = reference.select("column_name", F.col("share").alias("at"), F.struct("value", "area").alias("target"))
+    asked = queries.select("column_name", F.col("upto").alias("at"), F.struct(*queries.columns).alias("row"))
+    both = marks.withColumn("row", F.lit(None).cast(asked.schema["row"].dataType)).select(*columns).unionByName(
+        asked.withColumn("target", F.lit(None).cast(marks.schema["target"].dataType)).select(*columns)
+    )
+    both = both.withColumn("bucket", bucket)
+    following = (
+        W.partitionBy("column_name", "bucket").orderBy(F.desc("at")).rangeBetween(W.unboundedPreceding, 0)
+    )
+    # one row for each bucket of shares
+    least = both.groupBy("column_name", "bucket").agg(F.min("target").alias("least"))
+    after = W.partitionBy("column_name").orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1)
+    later = least.select("column_name", "bucket", F.min("least").over(after).alias("later"))
+    found = both.withColumn("within", F.min("target").over(following)).where(F.col("row").isNotNull())
+    return found.join(later, ["column_name", "bucket"]).select(
+        "row.*", F.coalesce("within", "later").alias("cross")
+    )
+
+
+def numeric_drift(counts: DataFrame, buckets: int = 64) -> DataFrame:
+    """First Wasserstein distance per day and column, in reference deviations.
+
+    ``counts`` come from :func:`value_counts_by_day`. The distance is the area between
+    both cumulative shares. The reference is added up once: between two values of a day
+    the day's share is constant, and the reference crosses it in one place, so the area
+    there follows from three points of the reference's integral. No reference value is
+    copied to a day.
+    """
+    reference, current = _areas(counts, buckets)
+    reference, current = materialize(reference, "reference"), materialize(current, "current")
+    totals = current.groupBy("day", "column_name").agg(F.sum("n").alias("total"))
+    along = running_over_buckets(
+        current.select("day", "column_name", "value", "n", "area", "mean", "bucket"),
         group=["day", "column_name"],
         bucket="bucket",
         order=["value"],
-        sums={"upto_ref": F.col("n_ref"), "upto_cur": F.col("n_cur")},
-        leads={"next_value": "value"},
+        sums={"upto_n": F.col("n")},
+        leads={"next_value": "value", "next_area": "area"},
+    )
+    steps = along.join(totals, ["day", "column_name"]).select(
+        "day", "column_name", "value", "area", "mean", "next_value", "next_area",
+        (F.col("upto_n") == F.col("n")).alias("is_first"),
+        (F.col("upto_n") / F.col("total")).alias("upto"),
+    )
+    crossed = _crossings(reference, steps, buckets)
+    a, b, q = F.col("value"), F.col("next_value"), F.col("upto")
+    inside = F.struct(F.col("cross.value").alias("x"), F.col("cross.area").alias("area"))
+    at = (
+        F.when(F.col("cross.value") <= a, F.struct(a.alias("x"), F.col("area")))
+        .when(F.col("cross.value") >= b, F.struct(b.alias("x"), F.col("next_area").alias("area")))
+        .otherwise(inside)
     )
-    gap = F.abs(F.col("upto_ref") / F.col("total_ref") - F.col("upto_cur") / F.col("total_cur"))
-    area = F.sum(gap * (F.col("next_value") - F.col("value")))
+    between = q * (2 * at["x"] - a - b) + F.col("area") + F.col("next_area") - 2 * at["area"]
+    # below the day's first value lies the reference's area, above its last what is left to 1
+    before = F.when(F.col("is_first"), F.col("area")).otherwise(0.0)
+    beyond = F.col("mean") - a + F.col("area")
+    distance = F.sum(before + F.when(b.isNull(), beyond).otherwise(between))
     return (
-        running.join(_totals(paired), ["day", "column_name"])
-        .groupBy("day", "column_name", "std")
-        .agg(area.alias("area"))
+        crossed.groupBy("day", "column_name")
+        .agg(distance.alias("distance"))
+        .join(_deviations(counts), "column_name")
         .select(
-            "day",
-            "column_name",
-            (F.coalesce("area", F.lit(0.0)) / F.col("std")).alias("drift_score"),
+            "day", "column_name", (F.greatest("distance", F.lit(0.0)) / F.col("std")).alias("drift_score")
         )
     )
 

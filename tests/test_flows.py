@@ -52,6 +52,15 @@ def test_zips_equal_their_csvs(spark, tmp_path):
     assert sorted(map(repr, from_zip.collect())) == sorted(map(repr, from_csv.collect()))
 
 
+def test_every_archive_has_its_own_task(spark, tmp_path):
+    for part in range(8):
+        with zipfile.ZipFile(tmp_path / f"{part}.zip", "w") as archive:
+            archive.writestr("trips.csv", f"{HEADER}\n{LINES[0]}\n")
+    rows = trip_files.read_trip_zips(spark, str(tmp_path))
+    tasks = rows.select(F.spark_partition_id().alias("task")).collect()
+    assert len(tasks) == 8 == len({r.task for r in tasks})
+
+
 def test_refresh_and_append(spark, three_trips):
     path = shared_path(spark, "year")
     trip_files.load_year(three_trips, path)

@@ -409,6 +409,26 @@ def test_upserts(spark):
             merge(old, new, ["k"]).collect()
 
 
+def test_drift_of_a_long_tail_against_every_value(spark):
+    """Against the plain area between both shares; no bucket holds most of the tail."""
+    rng = np.random.default_rng(8)
+    reference, current = rng.lognormal(0, 3, 3000).round(3), rng.lognormal(0.3, 3, (3, 400)).round(3)
+    frame = spark.createDataFrame([(float(v),) for v in reference], "v double")
+    rows = [(date(2024, 1, 1 + d), float(v)) for d in range(3) for v in current[d]]
+    days = spark.createDataFrame(rows, "day date, v double")
+    counts = drift.value_counts_by_day(frame, days, ["v"], [])
+    got = {r.day.day - 1: r.drift_score for r in drift.numeric_drift(counts).collect()}
+    for d in range(3):
+        every = np.sort(np.concatenate([reference, current[d]]))
+        shares = [np.searchsorted(np.sort(x), every[:-1], side="right") / len(x) for x in (reference, current[d])]
+        plain = (np.abs(shares[0] - shares[1]) * np.diff(every)).sum() / reference.std()
+        assert got[d] == pytest.approx(plain, rel=1e-9)
+    held, asked = drift._areas(counts, 64)
+    assert held.count() == len(set(reference)) and asked.count() <= 1200
+    fullest = held.unionByName(asked).groupBy("bucket").count().agg(F.max("count")).first()[0]
+    assert fullest < 200
+
+
 def test_days_of_a_leap_february(spark):
     months = spark.createDataFrame([(date(2024, 2, 10),)], "month date")
     rows = drift.month_days(months).orderBy("day").collect()
