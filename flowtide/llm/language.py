@@ -11,11 +11,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowtide.llm.common import column, fold, fresh
+from flowtide.session import materialize
 
 UNDETERMINED = "und"
 SIZES = (2, 3, 4)  # letters of an n-gram, blanks at the ends of a word included
@@ -170,6 +171,8 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", sample:
         .where(F.col("rank") <= sample)
         .select("lang", "order")
     )
+    # bounded by the sample; as a table Spark knows its size before it plans the join
+    chosen = materialize(chosen, "chosen")
     texts = labelled.withColumn("order", F.xxhash64("text", F.lit(7))).join(chosen, ["lang", "order"], "left_semi")
     texts = texts.groupBy("lang", "order").agg(F.first("text").alias("text"))
     sizes = {r["lang"]: r["n"] for r in chosen.groupBy("lang").agg(F.count("*").alias("n")).collect()}
