@@ -229,10 +229,15 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .groupBy("id")
         .agg(F.count("*").alias("rows"))
     )
+    stay = materialize(stay, "stay")
     single = (F.col("rows") == 1) & F.col("id").isNotNull()
     alone = docs.join(stay.where(single), column(id_col) == stay["id"], "left_semi")
+    if stay.where(~single).isEmpty():
+        return alone
     # rows that share an id, or have none, are told apart by their texts
-    again = docs.join(stay.where(~single), column(id_col).eqNullSafe(stay["id"]), "left_semi")
+    again = materialize(
+        docs.join(stay.where(~single), column(id_col).eqNullSafe(stay["id"]), "left_semi"), "repeated"
+    )
     rows = again.select(F.struct(*[column(c) for c in docs.columns]).alias("row"))
     value = {c: F.col("row")[c] for c in (id_col, text_col)}
     first = W.partitionBy("root").orderBy(value[text_col])
