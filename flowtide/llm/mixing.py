@@ -121,9 +121,11 @@ def cuts(sized: DataFrame) -> DataFrame:
             (F.col("rest") - F.col("upto") + F.col("size")).alias("cut_words"),
         )
     )
-    return goals.join(at, F.col("source").eqNullSafe(F.col("of")), "left").select(
+    found = goals.join(at, F.col("source").eqNullSafe(F.col("of")), "left").select(
         "source", "source_size", "target", "epochs", "cut_key", "cut_words", "cut_size"
     )
+    # as a table Spark knows its size before it plans the join with the documents
+    return materialize(found, "cuts")
 
 
 def taken(size: Column, key: Column, at: str) -> Column:
