@@ -231,7 +231,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     stay = materialize(stay, "stay")
     single = (F.col("rows") == 1) & F.col("id").isNotNull()
-    alone = docs.join(stay.where(single), column(id_col) == stay["id"], "left_semi")
+    # nearly as many ids as documents: always a merge, never a broadcast while they are few
+    alone = docs.join(stay.where(single).hint("merge"), column(id_col) == stay["id"], "left_semi")
     if stay.where(~single).isEmpty():
         return alone
     # rows that share an id, or have none, are told apart by their texts
