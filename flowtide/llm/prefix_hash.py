@@ -11,14 +11,16 @@ longer text that a common prefix and a common suffix are known to cover.
 """
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import BinaryType, DoubleType, StringType, StructField, StructType
 
 from flowtide.llm.common import column
 from flowtide.operators.bucketed import running_over_buckets
@@ -172,9 +174,32 @@ def likeness(one: str, other: str) -> float:
     return min(covered, n, m) / max(n, m)
 
 
-@F.pandas_udf(StringType())
-def _fingerprints(texts: pd.Series) -> pd.Series:
-    return pd.Series([fingerprint(t) for t in texts], dtype=object)
+# Texts travel compressed between tasks: they are read and cut in Python anyway.
+def _pack(text: str) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(text.encode("utf-8", "surrogatepass"))
+
+
+def _unpack(packed: bytes) -> str:
+    return zstandard.ZstdDecompressor().decompress(packed).decode("utf-8", "surrogatepass")
+
+
+@F.pandas_udf(StructType([StructField("fingerprint", StringType()), StructField("packed", BinaryType())]))
+def _prepared(texts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame(
+        {"fingerprint": [fingerprint(t) for t in texts], "packed": [_pack(t) for t in texts]}, dtype=object
+    )
+
+
+@F.pandas_udf(BinaryType())
+def _first_part(packed: pd.Series, length: pd.Series) -> pd.Series:
+    return pd.Series([_pack(_unpack(p)[:n]) for p, n in zip(packed, length, strict=True)], dtype=object)
+
+
+@F.pandas_udf(StructType([StructField("sha256", StringType()), StructField("fingerprint", StringType())]))
+def _edited(packed: pd.Series, kept: pd.Series, given: pd.Series) -> pd.DataFrame:
+    texts = [_unpack(p)[:n] + _unpack(g) for p, n, g in zip(packed, kept, given, strict=True)]
+    digests = [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in texts]
+    return pd.DataFrame({"sha256": digests, "fingerprint": [fingerprint(t) for t in texts]}, dtype=object)
 
 
 @F.pandas_udf(DoubleType())
@@ -215,8 +240,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ordered by the hash of their text; a null id comes last. A single document is its
     own next one. An empty table gives an empty table.
 
-    The texts are shuffled once by id, and of each the part that its predecessor
-    needs goes on to it.
+    The texts are shuffled once by id, compressed, and of each the part that its
+    predecessor needs goes on to it.
     """
     text = F.coalesce(column(text_col), F.lit(""))
     rows = docs.select(column(id_col).alias("id"), text.alias("text"))
@@ -238,30 +263,29 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.floor(F.col("n_chars") / 2).cast("int").alias("need"),
     )
     # both uses of this join take the same columns of the texts, so they are shuffled once
-    whole = rows.select("key", "hash", "text", _fingerprints("text").alias("fingerprint"))
+    whole = rows.select("key", "hash", "n_chars", _prepared("text").alias("made")).select(
+        "key", "hash", "n_chars", "made.fingerprint", "made.packed"
+    )
     met = whole.join(needed, ["key", "hash"])
-    n_chars = F.length("text")
     own = met.select(
-        "key", "hash", F.when(~F.col("nameless"), F.col("key")).alias("id"), n_chars.cast("long").alias("n_chars"),
-        "fingerprint", F.substring(F.col("text"), F.lit(1), n_chars - F.floor(n_chars / 2).cast("int")).alias("kept"),
-    )
+        "key", "hash", F.when(~F.col("nameless"), F.col("key")).alias("id"), "n_chars", "fingerprint", "packed"
+    )
     given = (
         met.select(
             F.col("before_key").alias("key"), F.col("before_hash").alias("hash"),
-            F.substring(F.col("text"), F.lit(1), F.col("need")).alias("given"),
+            _first_part("packed", F.least("need", "n_chars")).alias("given"),
             F.col("fingerprint").alias("next_fingerprint"),
         )
         .groupBy("key", "hash")
         .agg(F.first("given").alias("given"), F.first("next_fingerprint").alias("next_fingerprint"))
     )
-    edited = F.concat("kept", "given")
+    kept = F.col("n_chars") - F.floor(F.col("n_chars") / 2)
     paired = own.join(given, ["key", "hash"]).select(
-        "id", "n_chars", "fingerprint", "next_fingerprint",
-        F.sha2(edited.cast("binary"), 256).alias("edited_sha256"),
-        _fingerprints(edited).alias("edited_fingerprint"),
-    )
+        "id", "n_chars", "fingerprint", "next_fingerprint", _edited("packed", kept, "given").alias("edited")
+    )
     return paired.select(
-        F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        _likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+        F.col("id").alias(id_col), "n_chars", F.col("edited.sha256").alias("edited_sha256"), "fingerprint",
+        F.col("edited.fingerprint").alias("edited_fingerprint"),
+        _likeness("fingerprint", "edited.fingerprint").alias("near_edited"),
         _likeness("fingerprint", "next_fingerprint").alias("near_next"),
     )
