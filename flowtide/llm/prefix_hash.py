@@ -12,7 +12,6 @@ longer text that a common prefix and a common suffix are known to cover.
 
 import base64
 import hashlib
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -195,17 +194,26 @@ def _first_part(packed: pd.Series, length: pd.Series) -> pd.Series:
     return pd.Series([_pack(_unpack(p)[:n]) for p, n in zip(packed, length, strict=True)], dtype=object)
 
 
-@F.pandas_udf(StructType([StructField("sha256", StringType()), StructField("fingerprint", StringType())]))
-def _edited(packed: pd.Series, kept: pd.Series, given: pd.Series) -> pd.DataFrame:
-    texts = [_unpack(p)[:n] + _unpack(g) for p, n, g in zip(packed, kept, given, strict=True)]
-    digests = [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in texts]
-    return pd.DataFrame({"sha256": digests, "fingerprint": [fingerprint(t) for t in texts]}, dtype=object)
+_EDITED = StructType(
+    [
+        StructField("edited_sha256", StringType()),
+        StructField("edited_fingerprint", StringType()),
+        StructField("near_edited", DoubleType()),
+        StructField("near_next", DoubleType()),
+    ]
+)
 
 
-@F.pandas_udf(DoubleType())
-def _likeness(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for ones, others in batches:
-        yield pd.Series([likeness(a, b) for a, b in zip(ones, others, strict=True)], dtype=float)
+@F.pandas_udf(_EDITED)
+def _edited(packed: pd.Series, kept: pd.Series, given: pd.Series, own: pd.Series, after: pd.Series) -> pd.DataFrame:
+    """All that is said of the edited text, in one pass through one Python worker."""
+    rows = []
+    for p, n, g, mine, following in zip(packed, kept, given, own, after, strict=True):
+        text = _unpack(p)[:n] + _unpack(g)
+        made = fingerprint(text)
+        digest = hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+        rows.append((digest, made, likeness(mine, made), likeness(mine, following)))
+    return pd.DataFrame(rows, columns=_EDITED.names)
 
 
 def _neighbours(rows: DataFrame) -> DataFrame:
@@ -280,12 +288,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .agg(F.first("given").alias("given"), F.first("next_fingerprint").alias("next_fingerprint"))
     )
     kept = F.col("n_chars") - F.floor(F.col("n_chars") / 2)
-    paired = own.join(given, ["key", "hash"]).select(
-        "id", "n_chars", "fingerprint", "next_fingerprint", _edited("packed", kept, "given").alias("edited")
-    )
+    made = _edited("packed", kept, "given", "fingerprint", "next_fingerprint")
+    paired = own.join(given, ["key", "hash"]).select("id", "n_chars", "fingerprint", made.alias("edited"))
     return paired.select(
-        F.col("id").alias(id_col), "n_chars", F.col("edited.sha256").alias("edited_sha256"), "fingerprint",
-        F.col("edited.fingerprint").alias("edited_fingerprint"),
-        _likeness("fingerprint", "edited.fingerprint").alias("near_edited"),
-        _likeness("fingerprint", "next_fingerprint").alias("near_next"),
+        F.col("id").alias(id_col), "n_chars", "edited.edited_sha256", "fingerprint",
+        "edited.edited_fingerprint", "edited.near_edited", "edited.near_next",
     )
