@@ -27,6 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from flowtide.llm import resemblance
 from flowtide.llm.common import column
 from flowtide.llm.components import connected_components
 from flowtide.session import materialize
@@ -214,14 +215,16 @@ def _classes(fps: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without near copies: of every component the row with the least id stays.
 
+    Near copies share at least 0.8 of their distinct five-word shingles (see
+    :mod:`flowtide.llm.resemblance`); the fingerprints of above play no part in it.
     If several rows have that id, one of them stays: the one with the least text. Of
     a component whose ids are all null one row with the least text stays. Columns are
     those of ``docs``.
     """
-    fps = materialize(
-        docs.select(column(id_col).alias("id"), fingerprint_of(column(text_col)).alias("fp")), "fingerprints"
-    )
-    classes = _classes(fps)
+    signed = docs.select(column(id_col).alias("id"), resemblance.signature_of(column(text_col)).alias("s"))
+    fps = materialize(signed.select("id", "s.fp", "s.size", "s.keys"), "fingerprints")
+    classes = resemblance.classes(fps, docs, text_col)
+    fps = fps.select("id", "fp")
     # an id names its component, so mostly ids alone meet the texts: those that stay
     stay = (
         fps.join(classes, "fp")
@@ -243,7 +246,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     value = {c: F.col("row")[c] for c in (id_col, text_col)}
     first = W.partitionBy("root").orderBy(value[text_col])
     again = (
-        rows.withColumn("fp", fingerprint_of(value[text_col]))
+        rows.withColumn("fp", resemblance.digest_of(value[text_col]))
         .join(classes, "fp")
         .where(value[id_col].eqNullSafe(F.col("component_id")))
         .withColumn("rank", F.row_number().over(first))

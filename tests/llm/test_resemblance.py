@@ -1,0 +1,70 @@
+"""The near copies of the pipeline against brute-force Jaccard similarity."""
+
+import random
+from itertools import combinations
+
+from flowtide.llm import resemblance, simhash
+
+
+def plain_set(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def near(one, other):
+    return 5 * len(one & other) >= 4 * len(one | other)
+
+
+def within_three_bits(one, other):
+    return (one ^ other).bit_count() <= simhash.RADIUS
+
+
+def plain_kept(made, linked):
+    root = list(range(len(made)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in combinations(range(len(made)), 2):
+        if linked(made[i], made[j]):
+            a, b = sorted((find(i), find(j)))
+            root[b] = a
+    return [i for i in range(len(made)) if find(i) == i]
+
+
+def texts():
+    rng = random.Random(5)
+    found = []
+    for _ in range(25):
+        base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        found.append(" ".join(base))
+        for edits in (1, 2, 4, 5, 7, 12):  # similarities from 0.95 down to 0.5
+            words = list(base)
+            for place in rng.sample(range(200), edits):
+                words[place] = f"x{rng.randrange(5000)}"
+            found.append(" ".join(words))
+    base = [f"c{i}" for i in range(150)]  # a chain: each near the next, the ends far apart
+    for _ in range(15):
+        found.append(" ".join(base))
+        base = base[5:] + [f"d{rng.randrange(10**6)}" for _ in range(5)]
+    common = " ".join(f"p{i}" for i in range(60))  # half of each text, no copies
+    found += [common + " " + " ".join(f"q{rng.randrange(10**6)}" for _ in range(60)) for _ in range(40)]
+    rng.shuffle(found)
+    return found
+
+
+def test_one_of_each_equals_brute_force(spark):
+    rows = texts()
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in simhash.one_of_each(docs).collect())
+    assert kept == plain_kept([plain_set(t) for t in rows], near)
+    by_bits = plain_kept([simhash.fingerprint(t) for t in rows], within_three_bits)
+    assert set(by_bits) - set(kept)  # copies that the fingerprints of op10 do not link
+
+
+def test_alike_at_the_threshold():
+    words = [f"w{i}" for i in range(104)]
+    assert resemblance.alike(resemblance.shingles(" ".join(words)), resemblance.shingles(" ".join(words[:84])))
+    assert not resemblance.alike(resemblance.shingles(" ".join(words)), resemblance.shingles(" ".join(words[:83])))
