@@ -5,8 +5,10 @@ of the squared number of open sequences with that gap becomes smallest: into an
 sequence, or a new one. So no gap piles up that later pieces do not fill. Long pieces
 come first. Documents are only cut if they are longer than a sequence.
 
-Each task tokenizes its rows and packs them in blocks of ``BLOCK`` pieces, so memory
-is bounded, nothing is shuffled, and a lost task packs the same block again.
+Tasks tokenize the rows where they are and write narrow pieces, without ids of tokens.
+A hash spreads the pieces into blocks of about ``BLOCK``, each packed as a whole. So
+the sequences depend on the documents and not on how they are stored, memory is
+bounded, no text is shuffled, and a lost task packs the same block again.
 """
 
 import zlib
@@ -16,11 +18,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from flowtide.llm.common import column
+from flowtide.session import materialize
 
 CAPACITY = 4096
 END = 1
@@ -147,31 +150,47 @@ def pack(
 
     A null or empty text is its end mark alone. Repeated rows and ids are packed as
     often as they occur; null ids stay null. Pieces of a sequence follow each other
-    from offset 0 without a gap. The same files read in the same splits give the same
-    sequences. An empty table gives an empty table; other columns are left out.
+    from offset 0 without a gap. The same documents give the same sequences, however
+    they are stored. An empty table gives an empty table; other columns are left out.
+    Writes the pieces into the shared folder before it packs them.
     """
 
-    def packed(block: list[tuple], task: int, first: int) -> tuple[pd.DataFrame, int]:
-        bins, offsets = sum_of_squares(np.array([b[3] for b in block], np.int64), capacity)
-        frame = pd.DataFrame(block, columns=["id", *_COLUMNS[:4]])
-        frame["sequence_id"] = (task << 40) + first + bins
-        frame["offset"] = offsets
-        return frame, first + int(bins.max()) + 1
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = word_tokenizer(tokenizer)
+        for batch in batches:
+            pairs = zip(batch["id"].astype(object), batch["text"], strict=True)
+            found = [p for doc_id, text in pairs for p in _pieces(doc_id, words.ids(text), capacity)]
+            yield pd.DataFrame(found, columns=["id", *_COLUMNS[:4]])
+
+    def packed(rows: pd.DataFrame, first: int) -> tuple[pd.DataFrame, int]:
+        bins, offsets = sum_of_squares(rows["length"].to_numpy(np.int64), capacity)
+        made = rows.assign(sequence_id=(rows["block"].to_numpy(np.int64) << 40) + first + bins, offset=offsets)
+        return made[["id", *_COLUMNS]], first + int(bins.max()) + 1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, task = word_tokenizer(tokenizer), TaskContext.get().partitionId()
-        block, first = [], 0
+        """Rows come sorted by block; a block may span several batches."""
+        held, size, first = [], 0, 0
         for batch in batches:
-            for doc_id, text in zip(batch["id"].astype(object), batch["text"], strict=True):
-                block.extend(_pieces(doc_id, words.ids(text), capacity))
-                if len(block) >= BLOCK:
-                    frame, first = packed(block, task, first)
-                    yield frame
-                    block = []
-        if block:
-            yield packed(block, task, first)[0]
+            for block, rows in batch.groupby("block", sort=False):
+                if held and held[0]["block"].iloc[0] != block:
+                    yield packed(pd.concat(held), first)[0]
+                    held, size, first = [], 0, 0
+                held.append(rows)
+                size += len(rows)
+                if size >= 2 * BLOCK:  # only rows repeated without end fill a block so far
+                    made, first = packed(pd.concat(held), first)
+                    yield made
+                    held, size = [], 0
+        if held:
+            yield packed(pd.concat(held), first)[0]
 
     rows = docs.select(column(id_col).alias("id"), column(text_col).alias("text"))
     kinds = {"piece": IntegerType()}
-    schema = StructType([rows.schema["id"], *[StructField(c, kinds.get(c, LongType())) for c in _COLUMNS]])
-    return rows.mapInPandas(run, schema).withColumnRenamed("id", id_col)
+    fields = [rows.schema["id"], *[StructField(c, kinds.get(c, LongType())) for c in _COLUMNS]]
+    pieces = materialize(rows.mapInPandas(cut, StructType(fields[:5])), "pieces")
+    blocks = max(1, -(-pieces.count() // BLOCK))
+    spread = pieces.withColumn("mixed", F.xxhash64("id", "piece", "start", "length", "ids_crc32"))
+    spread = spread.withColumn("block", F.pmod("mixed", F.lit(blocks)))
+    order = ["block", "mixed", "id", "piece", "ids_crc32"]
+    ready = spread.repartition(blocks, "block").sortWithinPartitions(*order).drop("mixed")
+    return ready.mapInPandas(run, StructType(fields)).withColumnRenamed("id", id_col)
