@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowtide.llm import (
+    ball_codes,
     html_text,
     language,
     license_rules,
@@ -14,6 +15,7 @@ from flowtide.llm import (
     packing,
     prefix_hash,
     projection_forest,
+    quality,
     simhash,
     toxicity,
     url_rules,
@@ -68,6 +70,14 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op11_ball_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return ball_codes.digest(_table(spark, folder, "embeddings"))
+
+
+def op12_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.assess(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -81,5 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_language_id,
         op10_simhash,
+        op11_ball_codes,
+        op12_quality_trees,
     )
 }
