@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowtide.llm import (
+    alignment,
     ball_codes,
     html_text,
     language,
@@ -22,6 +23,7 @@ from flowtide.llm import (
 )
 
 VOCABULARY = "word_bpe_49k.json"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -78,6 +80,10 @@ def op12_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
     return quality.assess(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.digest(_table(spark, folder, "documents"), *map(public_tokenizers.path, ALIGNED))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -93,5 +99,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_simhash,
         op11_ball_codes,
         op12_quality_trees,
+        op13_token_alignment,
     )
 }
