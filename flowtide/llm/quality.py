@@ -28,7 +28,7 @@ DEPTH = 4
 RATE = 0.2
 BINS = 64
 LAMBDA = 1.0
-LEAST_HESSIAN = 1.0  # in each child
+LEAST_HESSIAN = 0.3  # in each child
 THRESHOLD = 0.5
 
 LEAST_WORDS = 50
