@@ -257,8 +257,9 @@ def fit(
         return pd.Series([statistics(t)[1] for t in texts])
 
     texts = docs.select(column(id_col).alias("id"), column(text_col).alias("text"))
-    # copies of an id teach once; the driver gets numbers only
-    rows = texts.join(chosen, "id").select("id", "label", features("text").alias("x"))
+    # at most SAMPLE rows of an id and a number go to the texts, so that no text is shuffled.
+    # Copies of an id teach once; the driver gets numbers only
+    rows = texts.join(F.broadcast(chosen), "id").select("id", "label", features("text").alias("x"))
     found = rows.groupBy("id").agg(F.first("label").alias("label"), F.min("x").alias("x")).toPandas()
     if not len(found):
         return _constant(35.0)
