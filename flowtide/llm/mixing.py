@@ -128,7 +128,7 @@ def cuts(sized: DataFrame) -> DataFrame:
     return materialize(found, "cuts")
 
 
-def taken(size: Column, key: Column, at: str) -> Column:
+def taken(size: Column, key: Column, at: str = "_cut") -> Column:
     """Words that the mix takes of a document, from the cut of its source."""
     more = (
         F.when(key < F.col(f"{at}.cut_key"), size)
@@ -138,14 +138,15 @@ def taken(size: Column, key: Column, at: str) -> Column:
     return (F.col(f"{at}.epochs") * size + F.coalesce(more, F.lit(0))).cast("long")
 
 
-def _with_cuts(rows: DataFrame, source: Column, salt: Column, found: DataFrame) -> DataFrame:
-    """Rows with ``_cut``: their source's cut. Salted, so that no source is one task."""
+def _with_cuts(rows: DataFrame, source: Column, salt: Column, found: DataFrame, cut: str = "_cut") -> DataFrame:
+    """Rows with a column ``cut``: their source's cut. Salted, so that no source is one task."""
+    at = fresh(rows, "_at")
     salted = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).select(
-        F.struct("source", "salt").alias("_at"),
-        F.struct("source_size", "target", "epochs", "cut_key", "cut_words", "cut_size").alias("_cut"),
+        F.struct("source", "salt").alias(at),
+        F.struct("source_size", "target", "epochs", "cut_key", "cut_words", "cut_size").alias(cut),
     )
     on = F.struct(source.alias("source"), salt.cast("int").alias("salt"))
-    return rows.join(salted, on.eqNullSafe(F.col("_at"))).drop("_at")
+    return rows.join(salted, on.eqNullSafe(F.col(at))).drop(at)
 
 
 def mix(
@@ -175,7 +176,7 @@ def mix(
         "size",
         "_cut.source_size",
         "_cut.target",
-        taken(F.col("size"), F.col("key"), "_cut").alias("taken"),
+        taken(F.col("size"), F.col("key")).alias("taken"),
     )
 
 
@@ -190,17 +191,19 @@ def mixed(
 
     Of a document that a budget cuts, the last copy keeps the words taken, and its
     ``chars_col`` is set to its length. Texts are read twice and not shuffled unless
-    the sources are too many for Spark to broadcast their cuts.
+    the sources are too many for Spark to broadcast their cuts. Null and blank texts are
+    taken 0 times; null sources and ids, and empty tables, are as in :func:`mix`. Columns
+    are those of ``docs``, whatever they are called.
     """
-    names = {n: fresh(docs, n) for n in ("size", "key", "words", "part")}
+    names = {n: fresh(docs, n) for n in ("size", "key", "cut", "part")}
     size, key = column(names["size"]), column(names["key"])
     text = column(text_col)
     source = column(source_col)
     sized = docs.select(source.alias("source"), word_count(text).alias("size"), mixing_key(column(id_col)).alias("key"))
     found = cuts(materialize(sized, "sized"))
     rows = docs.withColumns({names["size"]: word_count(text), names["key"]: mixing_key(column(id_col))})
-    rows = _with_cuts(rows, source, F.pmod(F.hash(key), F.lit(SALTS)), found)
-    words = taken(size, key, "_cut")
+    rows = _with_cuts(rows, source, F.pmod(F.hash(key), F.lit(SALTS)), found, names["cut"])
+    words = taken(size, key, names["cut"])
     whole = F.when(size > 0, F.floor(words / size)).otherwise(0).cast("int")
     left = words - whole * size
     parts = F.concat(

@@ -27,8 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from flowtide.llm import resemblance
-from flowtide.llm.common import column
+from flowtide.llm.common import column, fresh
 from flowtide.llm.components import connected_components
 from flowtide.session import materialize
 
@@ -213,40 +212,39 @@ def _classes(fps: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without near copies: of every component the row with the least id stays.
+    """``docs`` without near copies: of every component of links the row with the least id stays.
 
-    Near copies share at least 0.8 of their distinct five-word shingles (see
-    :mod:`flowtide.llm.resemblance`); the fingerprints of above play no part in it.
-    If several rows have that id, one of them stays: the one with the least text. Of
-    a component whose ids are all null one row with the least text stays. Columns are
-    those of ``docs``.
+    Links are those of :func:`near_duplicates`. If several rows have that id, one of
+    them stays: the one with the least text, null texts first. Of a component whose ids
+    are all null one row with the least text stays. Columns are those of ``docs``,
+    whatever they are called. An empty table gives an empty table.
     """
-    signed = docs.select(column(id_col).alias("id"), resemblance.signature_of(column(text_col)).alias("s"))
-    fps = materialize(signed.select("id", "s.fp", "s.size", "s.keys"), "fingerprints")
-    classes = resemblance.classes(fps, docs, text_col)
-    fps = fps.select("id", "fp")
+    fps = materialize(
+        docs.select(column(id_col).alias("id"), fingerprint_of(column(text_col)).alias("fp")), "fingerprints"
+    )
+    classes = _classes(fps)
     # an id names its component, so mostly ids alone meet the texts: those that stay
+    of = fresh(docs, "stays")
     stay = (
         fps.join(classes, "fp")
-        .where(F.col("id").eqNullSafe(F.col("component_id")))
-        .groupBy("id")
-        .agg(F.count("*").alias("rows"))
+        .groupBy(F.col("id").alias(of))
+        .agg(F.count("*").alias("rows"), F.max(F.col("id").eqNullSafe(F.col("component_id"))).alias("least"))
+        .where("least")
     )
     stay = materialize(stay, "stay")
-    single = (F.col("rows") == 1) & F.col("id").isNotNull()
+    single = (F.col("rows") == 1) & F.col(of).isNotNull()
     # nearly as many ids as documents: always a merge, never a broadcast while they are few
-    alone = docs.join(stay.where(single).hint("merge"), column(id_col) == stay["id"], "left_semi")
-    if stay.where(~single).isEmpty():
+    alone = docs.join(stay.where(single).select(of).hint("merge"), column(id_col) == F.col(of), "left_semi")
+    several = stay.where(~single).select(of)
+    if several.isEmpty():
         return alone
     # rows that share an id, or have none, are told apart by their texts
-    again = materialize(
-        docs.join(stay.where(~single), column(id_col).eqNullSafe(stay["id"]), "left_semi"), "repeated"
-    )
+    again = materialize(docs.join(several, column(id_col).eqNullSafe(F.col(of)), "left_semi"), "repeated")
     rows = again.select(F.struct(*[column(c) for c in docs.columns]).alias("row"))
     value = {c: F.col("row")[c] for c in (id_col, text_col)}
     first = W.partitionBy("root").orderBy(value[text_col])
     again = (
-        rows.withColumn("fp", resemblance.digest_of(value[text_col]))
+        rows.withColumn("fp", fingerprint_of(value[text_col]))
         .join(classes, "fp")
         .where(value[id_col].eqNullSafe(F.col("component_id")))
         .withColumn("rank", F.row_number().over(first))

@@ -284,6 +284,19 @@ def test_simhash(spark, odd, empty):
     assert [r["doc_id"] for r in twice] == [6]
 
 
+def test_clashing_names(spark):
+    """Columns named like those that the operators make on their way."""
+    kind = "id long, text string, source string, n_chars long, _cut int, _at int, rows int, stays string, root int, row int"
+    rows = [(i, f"a b c d{i % 3} e", "ab"[i % 2], 9, 1, 2, 3, "s", 4, 5) for i in range(12)] + [(3, "z", "a", 1, 1, 2, 3, "s", 4, 5)]
+    docs = spark.createDataFrame(rows, kind)
+    kept = simhash.one_of_each(docs, id_col="id")
+    # of id 3 only one text is the least of its component; an id that repeats keeps one row
+    assert kept.dtypes == docs.dtypes and sorted(r["id"] for r in kept.collect()) == [0, 1, 2, 3]
+    assert [r["text"] for r in kept.where("id = 3").collect()] == ["z"]
+    out = mixing.mixed(docs, id_col="id")
+    assert out.dtypes == docs.dtypes and out.count() > 0
+
+
 @pytest.mark.parametrize("blocks", [4, 5, 6, 7])
 def test_links_keep_all_connections(spark, blocks):
     """Against every pair: random values, a dense cluster, a chain, equal keys."""
