@@ -8,11 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from flowtide.llm import language, mixing, packing, simhash, toxicity
-from flowtide.session import materialize
+from flowtide.session import drop_table, scratch, shared_path
 
 VOCABULARY = "word_bpe_49k.json"
 
-#: The near copies and the packing have no SQL: tests compare run() with plain Python.
+#: Learned decisions and the packing have no SQL: tests compare run() with plain Python.
 ORACLE_SQL = None
 
 
@@ -27,7 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the least id."""
+    """One document of each component of SimHash links: the one with the least id."""
     return simhash.one_of_each(docs)
 
 
@@ -51,8 +51,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder, each written before the next reads it."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of a folder, each written before the next reads it.
+
+    A stage's own tables go once its output stands, and its input with them.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        path = shared_path(spark, name)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            drop_table(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
