@@ -34,7 +34,7 @@ def test_durations_and_columns(three_trips):
         "rideable_type", "started_at", "ended_at", "start_station_name", "end_station_name",
         "start_time", "end_time", "duration",
     }
-    assert [r.duration for r in out.orderBy("started_at").collect()] == [10.0, 15.0, 20.0]
+    assert [r.duration for r in out.orderBy("started_at").collect()] == [12.5, 31.0, 7.0]
 
 
 def test_fractions_count_for_duration_only(spark):
@@ -91,7 +91,7 @@ def test_one_day_has_the_columns_and_no_rows(three_trips):
 def test_observed_pairs_become_columns(three_trips):
     wide = elt.stock_series(clean.remove_outlier(clean.preprocess(three_trips)), skip_days=0)
     assert reshape.series_names(wide) == [
-        "St1|classic_bike", "St1|electric_bike", "St2|classic_bike", "St2|electric_bike",
+        "Mill|classic_bike", "Mill|electric_bike", "Pier|classic_bike", "Pier|electric_bike",
     ]
 
 
