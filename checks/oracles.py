@@ -33,6 +33,9 @@ NUMERIC = (
 ).split()
 
 STEPS = {
+    "gappy": """
+        SELECT time, station, rideable_type, target_next_stock,
+               CASE WHEN stock >= 0 THEN is_rush_hour END AS rush FROM features""",
     "trips": """
         SELECT event_id::VARCHAR AS ride_id,
                CASE WHEN user_id % 2 = 0 THEN 'classic_bike' ELSE 'electric_bike' END AS rideable_type,
@@ -409,7 +412,57 @@ REQUEST_ROWS = """
     FROM (SELECT DISTINCT start_station_name AS station, rideable_type,
                  started_at::DATE AS target_day FROM trips)"""
 
+def _boosted(depth: int) -> str:
+    """One tree over a flag that may be missing and two types, by all splits there can be.
+
+    Cells are all inputs that occur. A split is a set of cells to the left: by the flag
+    with missing ones right or left, and by the type.
+    """
+    splits = ["rush = 0", "rush IS NOT NULL", "rush = 0 OR rush IS NULL", "rideable_type = 'classic_bike'"]
+    chosen = splits[:3] if depth == 1 else splits
+    gain = """0.5 * (gl * gl / (nl + 1) + (g - gl) * (g - gl) / (n - nl + 1) - g * g / (n + 1))"""
+    options = " UNION ALL ".join(
+        f"SELECT *, {i} AS id, coalesce({split}, false) AS is_left FROM cells" for i, split in enumerate(chosen)
+    )
+    return f"""
+        SELECT rush, rideable_type, n AS n_rows, {rounded('base - 0.2089 * g_leaf / (n_leaf + 1)')} AS prediction
+        FROM (
+            WITH base AS (SELECT avg(target_next_stock) AS base FROM gappy),
+            cells AS (
+                SELECT rush, rideable_type, count(*) AS n, sum(base - target_next_stock) AS g, any_value(base) AS base
+                FROM gappy, base GROUP BY 1, 2
+            ), options AS ({options}),
+            first AS (
+                SELECT id FROM (
+                    SELECT id, sum(g) AS g, sum(n) AS n, sum(g) FILTER (WHERE is_left) AS gl,
+                           sum(n) FILTER (WHERE is_left) AS nl
+                    FROM options GROUP BY id)
+                WHERE nl > 0 AND nl < n ORDER BY {gain} DESC, id LIMIT 1
+            ), sided AS (
+                SELECT a.*, b.is_left AS side FROM options a JOIN options b
+                    ON a.rush IS NOT DISTINCT FROM b.rush AND a.rideable_type = b.rideable_type
+                WHERE b.id = (SELECT id FROM first)
+            ), second AS (
+                SELECT side, id FROM (
+                    SELECT side, id, sum(g) AS g, sum(n) AS n, sum(g) FILTER (WHERE is_left) AS gl,
+                           sum(n) FILTER (WHERE is_left) AS nl
+                    FROM sided GROUP BY side, id)
+                WHERE nl > 0 AND nl < n AND {gain} > 1e-6 AND {depth} = 2
+                QUALIFY row_number() OVER (PARTITION BY side ORDER BY {gain} DESC, id) = 1
+            ), leaves AS (
+                SELECT s.rush, s.rideable_type, s.n, s.g, s.base, s.side,
+                       coalesce(s.is_left AND second.id IS NOT NULL, false) AS part
+                FROM sided s LEFT JOIN second ON s.side = second.side
+                WHERE s.id = coalesce(second.id, 0)
+            )
+            SELECT rush, rideable_type, n, base, sum(g) OVER (PARTITION BY side, part) AS g_leaf,
+                   sum(n) OVER (PARTITION BY side, part) AS n_leaf
+            FROM leaves)"""
+
+
 ORACLES = {
+    "boosted_stump": _boosted(1),
+    "boosted_depth2": _boosted(2),
     "scan_trips": f"SELECT {TRIP_COLUMNS} FROM trips",
     "append_trips": f"SELECT {TRIP_COLUMNS} FROM trips",
     "refresh_trips": f"SELECT {TRIP_COLUMNS} FROM trips",

@@ -24,6 +24,7 @@ from checks.oracles import (
 )
 from flowtide.constants import CATEGORICAL_FEATURES, NUMERICAL_FEATURES, TARGET
 from flowtide.operators import (
+    boosting,
     clean,
     drift,
     features,
@@ -591,6 +592,54 @@ def gbt_importance(spark, folder):
     return models.feature_importance(models.fit_gbt(table), table)
 
 
+def _gappy(spark, folder):
+    """The rush hour flag is missing where the stock is negative."""
+    rush = F.when(F.col("stock") >= 0, F.col("is_rush_hour"))
+    return feature_rows(spark, folder).select("time", *CATEGORICAL_FEATURES, TARGET, rush.alias("rush"))
+
+
+def _by_cell(model, rows):
+    table = boosting.score(model, rows).groupBy("rush", "rideable_type").agg(
+        F.count("*").alias("n_rows"), F.avg("prediction").alias("prediction")
+    )
+    return rounded(table, "prediction")
+
+
+def boosted_stump(spark, folder):
+    """One split of a flag that may be missing, which the split sends where it fits best."""
+    rows = _gappy(spark, folder)
+    return _by_cell(boosting.fit_boosted(rows, rounds=1, depth=1, names=["rush"], categories=()), rows)
+
+
+def boosted_depth2(spark, folder):
+    """Two levels over the flag and the types: the second split may differ by side."""
+    rows, names = _gappy(spark, folder), ["rush", "rideable_type"]
+    return _by_cell(boosting.fit_boosted(rows, rounds=1, depth=2, names=names, categories=names[1:]), rows)
+
+
+def _boosted(spark, folder):
+    """The registered setting on the first part by time, lags missing where a series starts."""
+    key = (spark.sparkContext.applicationId, folder, "boosted")
+    rows = split.ordered_split(
+        _table(spark, folder, "open_features",
+               lambda: features.features(stock(spark, folder), drop_null=False, keep_time=True))
+    )
+    if key not in _paths:
+        path = shared_path(spark, "boosted")
+        boosting.fit_boosted(rows.where("is_train")).save(spark, path)
+        _paths[key] = path, rows.schema
+    return boosting.load(spark, _paths[key][0]), rows.where("NOT is_train")
+
+
+def boosted_fit_score(spark, folder):
+    model, held_out = _boosted(spark, folder)
+    return models.evaluate(boosting.score(model, held_out))
+
+
+def boosted_importance(spark, folder):
+    return boosting.importance(_boosted(spark, folder)[0], spark)
+
+
 # --- requests -------------------------------------------------------------------------
 
 
@@ -876,6 +925,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         score_slice, score_error, stockout_alerts, daily_features, month_days, drift_numeric,
         drift_categorical, column_drift, drift_summary, daily_performance, upsert_keep_first,
         upsert_partial, upsert_orders_keep_first, upsert_orders_partial, dash_drift,
+        boosted_stump, boosted_depth2, boosted_fit_score, boosted_importance,
         dash_performance, day_series, stream_net_flow, stream_daily_stock, stream_alerts,
     )
 } | {

@@ -23,7 +23,7 @@ def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {
         "var_fit", "var_forecast", "var_rmse_by_series", "gbt_fit_score", "gbt_importance",
-        "gbt_deep", "search_models",
+        "gbt_deep", "search_models", "boosted_fit_score", "boosted_importance",
     }
 
 
