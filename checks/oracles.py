@@ -460,7 +460,53 @@ def _boosted(depth: int) -> str:
             FROM leaves)"""
 
 
+# Two series a station, two lags: columns 1, lag 1 of both, lag 2 of both, and both values.
+# Their products, then Gauss-Jordan elimination, a column a step.
+_VAR_GROUPS = """
+    WITH RECURSIVE changes AS (
+        SELECT time, station, rideable_type AS name, stock, lag(stock) OVER w AS previous,
+               (stock - lag(stock) OVER w)::DOUBLE AS y
+        FROM stock WINDOW w AS (PARTITION BY station, rideable_type ORDER BY time)
+    ), wide AS (
+        SELECT time, station, list(name ORDER BY name) AS names, list(y ORDER BY name) AS y,
+               list(stock ORDER BY name) AS stock, list(previous ORDER BY name) AS previous
+        FROM changes GROUP BY 1, 2
+    ), design AS (
+        SELECT *, [1e0, lag(y[1], 1) OVER w, lag(y[2], 1) OVER w, lag(y[1], 2) OVER w, lag(y[2], 2) OVER w] AS x
+        FROM wide WINDOW w AS (PARTITION BY station ORDER BY time)
+    ), cut AS (
+        SELECT min(time) + to_seconds(900 * floor(0.8e0 * (date_diff('second', min(time), max(time)) / 900 + 1))::BIGINT) AS t
+        FROM stock
+    ), z AS (
+        SELECT station, list_concat(x, y) AS z FROM design, cut
+        WHERE time < t AND list_count(x) = 5 AND list_count(y) = 2
+    ), cells AS (
+        SELECT station, i, j, sum(z[i] * z[j]) AS s
+        FROM z, (SELECT unnest(range(1, 6)) AS i), (SELECT unnest(range(1, 8)) AS j) GROUP BY 1, 2, 3
+    ), rows_ AS (
+        SELECT station, i, list(s ORDER BY j) AS r FROM cells GROUP BY 1, 2
+    ), solved AS (
+        SELECT station, 1 AS k, list(r ORDER BY i) AS m FROM rows_ GROUP BY 1
+        UNION ALL
+        SELECT station, k + 1, list_transform(range(1, 6), lambda i: list_transform(range(1, 8), lambda j:
+            CASE WHEN i = k THEN m[k][j] / m[k][k] ELSE m[i][j] - m[i][k] * m[k][j] / m[k][k] END))
+        FROM solved WHERE k <= 5
+    ), beta AS (SELECT station, m FROM solved WHERE k = 6)"""
+
 ORACLES = {
+    "var_groups_fit": f"""SELECT * FROM ({_VAR_GROUPS}, series AS (
+            SELECT station, list(name ORDER BY name) AS names FROM (SELECT DISTINCT station, name FROM changes) GROUP BY 1
+        )
+        SELECT station, names[e] AS rideable_type, i // 2 AS lag,
+               CASE WHEN i > 1 THEN names[1 + i % 2] END AS source,
+               {rounded('m[i][5 + e]')} AS weight
+        FROM beta JOIN series USING (station), (SELECT unnest([1, 2]) AS e),
+             (SELECT unnest([1, 2, 3, 4, 5]) AS i))""",
+    "var_groups_forecast": f"""SELECT * FROM ({_VAR_GROUPS}
+        SELECT time, station, names[e] AS rideable_type, stock[e] AS actual,
+               {rounded('previous[e] + m[1][5 + e] + x[2] * m[2][5 + e] + x[3] * m[3][5 + e] + x[4] * m[4][5 + e] + x[5] * m[5][5 + e]')} AS predicted
+        FROM design JOIN beta USING (station), cut, (SELECT unnest([1, 2]) AS e)
+        WHERE time >= t AND list_count(x) = 5)""",
     "boosted_stump": _boosted(1),
     "boosted_depth2": _boosted(2),
     "scan_trips": f"SELECT {TRIP_COLUMNS} FROM trips",

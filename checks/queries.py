@@ -37,6 +37,7 @@ from flowtide.operators import (
     split,
     stations,
     upsert,
+    var_groups,
 )
 from flowtide.plans import elt, monitoring, training
 from flowtide.schemas import MODEL_PERFORMANCE, TRIP, TRIP_TEXT
@@ -506,6 +507,21 @@ def var_rmse_by_series(spark, folder):
     return forecast.rmse_by_series(_var_forecast(spark, folder))
 
 
+VAR_ORDER = 2
+
+
+def var_groups_fit(spark, folder):
+    """A vector autoregression of the types of every station: all coefficients as rows."""
+    model = var_groups.fit_groups(stock(spark, folder), order=VAR_ORDER)
+    return rounded(var_groups.coefficients(model), "weight")
+
+
+def var_groups_forecast(spark, folder):
+    series_ = stock(spark, folder)
+    model = materialize(var_groups.fit_groups(series_, order=VAR_ORDER), "var-groups")
+    return rounded(var_groups.forecast_groups(series_, model, max_lags=VAR_ORDER), "predicted")
+
+
 def gbt_fit_score(spark, folder):
     return models.evaluate(training.fit_and_evaluate(feature_rows(spark, folder))[1])
 
@@ -925,7 +941,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         score_slice, score_error, stockout_alerts, daily_features, month_days, drift_numeric,
         drift_categorical, column_drift, drift_summary, daily_performance, upsert_keep_first,
         upsert_partial, upsert_orders_keep_first, upsert_orders_partial, dash_drift,
-        boosted_stump, boosted_depth2, boosted_fit_score, boosted_importance,
+        var_groups_fit, var_groups_forecast, boosted_stump, boosted_depth2, boosted_fit_score, boosted_importance,
         dash_performance, day_series, stream_net_flow, stream_daily_stock, stream_alerts,
     )
 } | {
