@@ -776,6 +776,15 @@ ORACLES = {
         SELECT station, rideable_type, target_day AS day, unnest(fired) AS alert
         FROM (SELECT station, rideable_type, target_day, arg_max(times, i) AS fired
               FROM every_fold GROUP BY ALL)""",
+    "stateful_daily_stock": """
+        SELECT time::DATE AS day, time, station, rideable_type,
+               (10 + sum(net_flow) OVER (PARTITION BY station, rideable_type, time::DATE
+                                         ORDER BY time))::BIGINT AS stock
+        FROM arriving_net""",
+    "stateful_alerts": """
+        SELECT station, rideable_type, target_day AS day, unnest(fired) AS alert
+        FROM (SELECT station, rideable_type, target_day, arg_max(times, i) AS fired
+              FROM every_fold GROUP BY ALL)""",
     "profile_lines": _profile(
         "lineitem",
         {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
@@ -800,6 +809,8 @@ DATES = {
     "score_slice": ["target_day"],
     "stockout_alerts": ["target_day"],
     "stored_stock": ["day"],
+    "stateful_alerts": ["day"],
+    "stateful_daily_stock": ["day"],
     "stream_alerts": ["day"],
     "stream_daily_stock": ["day"],
     "validate_months": ["target_day"],

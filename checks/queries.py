@@ -47,6 +47,7 @@ from flowtide.sources.events import read_events, trips_from_events
 from flowtide.streaming import alerts as alert_stream
 from flowtide.streaming import daily_stock
 from flowtide.streaming import net_flow as net_flow_stream
+from flowtide.streaming import stateful
 
 _paths: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
@@ -921,6 +922,24 @@ def stream_alerts(spark, folder):
     return alert_stream.read_alerts(spark, path)
 
 
+def stateful_daily_stock(spark, folder):
+    """The same by Spark's own state, a state a series and day."""
+    flows = stations.station_flows(_arriving_trips(spark, folder), top_n=None)
+    path = shared_path(spark, "stateful-stock")
+    stateful.start_stock(flows, path, f"{path}-progress").awaitTermination()
+    return stateful.read_stock(spark, path)
+
+
+def stateful_alerts(spark, folder):
+    def build():
+        return stock(spark, folder).repartitionByRange(STREAM_FILES, "time", "station", "rideable_type")
+
+    arriving = _stream(spark, folder, "stock-by-time", build).withColumnRenamed("stock", "prediction")
+    path = shared_path(spark, "stateful-alerts")
+    stateful.start_alerts(arriving, path, f"{path}-progress").awaitTermination()
+    return stateful.read_alerts(spark, path)
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -943,6 +962,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         upsert_partial, upsert_orders_keep_first, upsert_orders_partial, dash_drift,
         var_groups_fit, var_groups_forecast, boosted_stump, boosted_depth2, boosted_fit_score, boosted_importance,
         dash_performance, day_series, stream_net_flow, stream_daily_stock, stream_alerts,
+        stateful_daily_stock, stateful_alerts,
     )
 } | {
     "preprocess": complete,
