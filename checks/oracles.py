@@ -767,6 +767,7 @@ ORACLES = {
         WHERE time::DATE = DATE '2024-01-04' AND station = 'view'""",
     # windows that end before the last event less the delay
     "stream_net_flow": "SELECT * FROM arriving_net",
+    "stream_closed_slots": "SELECT * FROM arriving_net",
     "stream_daily_stock": """
         SELECT time::DATE AS day, time, station, rideable_type,
                (10 + sum(net_flow) OVER (PARTITION BY station, rideable_type, time::DATE

@@ -45,7 +45,7 @@ from flowtide.session import materialize, shared_path, write_table
 from flowtide.sources import tables, trip_files
 from flowtide.sources.events import read_events, trips_from_events
 from flowtide.streaming import alerts as alert_stream
-from flowtide.streaming import daily_stock
+from flowtide.streaming import closing, daily_stock
 from flowtide.streaming import net_flow as net_flow_stream
 from flowtide.streaming import stateful
 
@@ -922,6 +922,14 @@ def stream_alerts(spark, folder):
     return alert_stream.read_alerts(spark, path)
 
 
+def stream_closed_slots(spark, folder):
+    """Slots that the stream has closed, those still open, and late flows, added up."""
+    flows = stations.station_flows(_arriving_trips(spark, folder), top_n=None)
+    path = shared_path(spark, "stream-closing")
+    closing.start_closing(flows, path, f"{path}-progress").awaitTermination()
+    return closing.read_all(spark, path)
+
+
 def stateful_daily_stock(spark, folder):
     """The same by Spark's own state, a state a series and day."""
     flows = stations.station_flows(_arriving_trips(spark, folder), top_n=None)
@@ -962,7 +970,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         upsert_partial, upsert_orders_keep_first, upsert_orders_partial, dash_drift,
         var_groups_fit, var_groups_forecast, boosted_stump, boosted_depth2, boosted_fit_score, boosted_importance,
         dash_performance, day_series, stream_net_flow, stream_daily_stock, stream_alerts,
-        stateful_daily_stock, stateful_alerts,
+        stateful_daily_stock, stateful_alerts, stream_closed_slots,
     )
 } | {
     "preprocess": complete,
