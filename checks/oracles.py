@@ -639,6 +639,7 @@ ORACLES = {
         FROM calendar""",
     "minmax_restore": "SELECT time, station, rideable_type, stock::DOUBLE AS stock FROM stock",
     "feature_corr": _correlation("features", NUMERIC),
+    "daily_corr": _correlation("features", NUMERIC),
     "unique_check": """
         SELECT count(*) AS n_rows, count(DISTINCT ride_id) AS n_distinct,
                count(*) = count(DISTINCT ride_id) AS is_unique FROM trips""",

@@ -26,6 +26,7 @@ from flowtide.constants import CATEGORICAL_FEATURES, NUMERICAL_FEATURES, TARGET
 from flowtide.operators import (
     boosting,
     clean,
+    comoments,
     drift,
     features,
     forecast,
@@ -386,6 +387,16 @@ def feature_corr(spark, folder):
     return rounded(table, "correlation")
 
 
+def daily_corr(spark, folder):
+    """The same matrix, merged from one row a day and pair."""
+    rows = feature_rows(spark, folder)
+    parts = materialize(comoments.partial_moments(rows, NUMERICAL_FEATURES, F.to_date("time")), "moments")
+    daily = materialize(comoments.merge(parts, ["day"]), "daily-moments")
+    table = comoments.correlations(comoments.merge(daily))
+    named = table.select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "correlation")
+    return rounded(named, "correlation")
+
+
 def unique_check(spark, folder):
     return profile.unique_check(trips(spark, folder), "ride_id")
 
@@ -970,7 +981,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         upsert_partial, upsert_orders_keep_first, upsert_orders_partial, dash_drift,
         var_groups_fit, var_groups_forecast, boosted_stump, boosted_depth2, boosted_fit_score, boosted_importance,
         dash_performance, day_series, stream_net_flow, stream_daily_stock, stream_alerts,
-        stateful_daily_stock, stateful_alerts, stream_closed_slots,
+        stateful_daily_stock, stateful_alerts, stream_closed_slots, daily_corr,
     )
 } | {
     "preprocess": complete,
