@@ -638,6 +638,11 @@ ORACLES = {
                {rounded('(hour - min(hour) OVER ()) / (max(hour) OVER () - min(hour) OVER ())')} AS hour
         FROM calendar""",
     "minmax_restore": "SELECT time, station, rideable_type, stock::DOUBLE AS stock FROM stock",
+    "checked_trips": """
+        SELECT reason, reason <> 'good' AS has_line, count(*) AS n
+        FROM (SELECT unnest(['good', 'columns', CASE WHEN rideable_type = 'classic_bike' THEN 'started_at'
+                                                     ELSE 'end_lng' END]) AS reason FROM trips)
+        GROUP BY 1, 2""",
     "feature_corr": _correlation("features", NUMERIC),
     "daily_corr": _correlation("features", NUMERIC),
     "unique_check": """

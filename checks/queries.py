@@ -128,6 +128,24 @@ def scan_trips(spark, folder):
     return trip_files.read_trips_csv(spark, path, year=2024)
 
 
+def checked_trips(spark, folder):
+    """Every trip as a good line, and as a broken one: good and rejected lines by reason."""
+    path = shared_path(spark, "lines")
+    fields = {f.name: F.col(f.name).cast("string") for f in TRIP}
+    classic = F.col("rideable_type") == TYPES[0]
+    spoilt = {
+        "started_at": F.when(classic, "at eight").otherwise(fields["started_at"]),
+        "end_lng": F.when(classic, fields["end_lng"]).otherwise("west"),
+    }
+    as_line = lambda columns: F.to_csv(F.struct(*[v.alias(c) for c, v in columns.items()]))
+    lines = F.array(as_line(fields), as_line(fields | spoilt), F.concat("ride_id", F.lit(",short")))
+    trips(spark, folder).select(F.explode(lines).alias("line")).write.text(path)
+    checked = trip_files.check_trips_csv(spark, path, header=False)
+    rejected = trip_files.rejected_lines(checked).select("reason", F.col("line").isNotNull().alias("has_line"))
+    good = trip_files.good_trips(checked).select(F.lit("good").alias("reason"), F.lit(False).alias("has_line"))
+    return good.unionByName(rejected).groupBy("reason", "has_line").agg(F.count("*").alias("n"))
+
+
 def append_trips(spark, folder):
     path = shared_path(spark, "appended")
     for kind in TYPES:
@@ -981,7 +999,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         upsert_partial, upsert_orders_keep_first, upsert_orders_partial, dash_drift,
         var_groups_fit, var_groups_forecast, boosted_stump, boosted_depth2, boosted_fit_score, boosted_importance,
         dash_performance, day_series, stream_net_flow, stream_daily_stock, stream_alerts,
-        stateful_daily_stock, stateful_alerts, stream_closed_slots, daily_corr,
+        stateful_daily_stock, stateful_alerts, stream_closed_slots, daily_corr, checked_trips,
     )
 } | {
     "preprocess": complete,

@@ -61,6 +61,28 @@ def test_every_archive_has_its_own_task(spark, tmp_path):
     assert len(tasks) == 8 == len({r.task for r in tasks})
 
 
+def test_good_and_rejected_lines_are_all_lines(spark, tmp_path):
+    head = ",".join(f.name for f in TRIP)
+    fields = ["r1", "classic_bike", "2024-01-01 08:00:00", "2024-01-01 08:10:00.5", "a", "1", "b", "2", "1.5", "2.5", "", "4.5", "member"]
+    lines = [
+        ",".join(fields),
+        ",".join([*fields[:2], "at eight", *fields[3:8], "north", *fields[9:]]),
+        "r3,classic_bike",
+        ",".join([*fields, "more"]),
+        "",
+    ]
+    (tmp_path / "2024-01.csv").write_text("\n".join([head, *lines]) + "\n")
+    (tmp_path / "2023-01.csv").write_text(head + "\n")
+    checked = trip_files.check_trips_csv(spark, str(tmp_path), year=2024)
+    good = trip_files.good_trips(checked).collect()
+    assert [(r.ride_id, r.end_lat, r.end_lng) for r in good] == [("r1", None, 4.5)]
+    rejected = {r.reason: (r.line, r.file) for r in trip_files.rejected_lines(checked).collect()}
+    assert set(rejected) == {"columns", "started_at,start_lat"} and len(good) + checked.where("reason IS NOT NULL").count() == 4
+    assert rejected["started_at,start_lat"][0] == lines[1]
+    assert all(file.endswith("2024-01.csv") for _, file in rejected.values())
+    assert trip_files.check_trips_csv(spark, str(tmp_path), year=2023).count() == 0
+
+
 def test_refresh_and_append(spark, three_trips):
     path = shared_path(spark, "year")
     trip_files.load_year(three_trips, path)
