@@ -8,6 +8,7 @@ from one of them or from a given table.
 import io
 import zipfile
 from collections.abc import Callable
+from functools import partial
 
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,7 @@ from flowtide.schemas import MODEL_PERFORMANCE, TRIP, TRIP_TEXT
 from flowtide.session import materialize, shared_path, write_table
 from flowtide.sources import tables, trip_files
 from flowtide.sources.events import read_events, trips_from_events
+from flowtide.sources.keyed_table import KeyedTable
 from flowtide.streaming import alerts as alert_stream
 from flowtide.streaming import closing, daily_stock
 from flowtide.streaming import net_flow as net_flow_stream
@@ -896,6 +898,19 @@ def upsert_orders_partial(spark, folder):
     return rounded(merged, "o_totalprice")
 
 
+def keyed_orders(spark, folder):
+    """The same merge on a stored table in buckets: the new orders come in three parts, by date."""
+    old, new = _old_and_new_orders(spark, folder)
+    path, keys = shared_path(spark, "orders"), ["o_orderkey"]
+    table = KeyedTable(spark, path, old.schema, keys, buckets=16)
+    table.create_if_absent()
+    table.merge(old, partial(upsert.upsert_keep_first, keys=keys))
+    refresh = partial(upsert.upsert_partial, keys=keys, update_columns=["o_orderstatus"])
+    for part in range(3):
+        table.merge(new.where(F.pmod(F.year("o_orderdate"), F.lit(3)) == part), refresh)
+    return rounded(table.read(), "o_totalprice")
+
+
 def dash_drift(spark, folder):
     sides = _drift_sides(spark, folder)
     return rounded(drift.drift_over_time(drift.column_drift(*sides), "stock"), "drift_score")
@@ -999,7 +1014,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         upsert_partial, upsert_orders_keep_first, upsert_orders_partial, dash_drift,
         var_groups_fit, var_groups_forecast, boosted_stump, boosted_depth2, boosted_fit_score, boosted_importance,
         dash_performance, day_series, stream_net_flow, stream_daily_stock, stream_alerts,
-        stateful_daily_stock, stateful_alerts, stream_closed_slots, daily_corr, checked_trips,
+        stateful_daily_stock, stateful_alerts, stream_closed_slots, daily_corr, checked_trips, keyed_orders,
     )
 } | {
     "preprocess": complete,

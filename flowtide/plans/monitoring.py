@@ -1,6 +1,7 @@
 """Backfill of the monitoring tables: all days of a month in one job each."""
 
 from datetime import date
+from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,11 @@ from flowtide.operators.drift import column_drift, daily_performance, drift_summ
 from flowtide.operators.models import score
 from flowtide.operators.upsert import upsert_keep_first, upsert_partial
 from flowtide.session import materialize, scratch
-from flowtide.schemas import METRIC_TABLES
 from flowtide.sources.tables import ensure_metric_tables
 
+# Versions of a metric table that stay for readers which have begun.
+KEPT_VERSIONS = 10
+
 
 def days_of_month(features: DataFrame, month: date) -> DataFrame:
     """The feature rows of one calendar month, with their ``day``."""
@@ -30,17 +33,15 @@ def backfill_drift(
     number of drifted columns is refreshed.
     """
     tables = ensure_metric_tables(spark, root)
-    keys = {name: list(key) for name, (_, key) in METRIC_TABLES.items()}
     columns, summaries = tables["column_drift"], tables["dataset_summary"]
     with scratch(spark):
         drift = materialize(column_drift(reference, days_of_month(current, month)), "drift")
         summary = drift_summary(drift)
-        columns.replace(upsert_keep_first(columns.read(), drift, keys["column_drift"]))
-        summaries.replace(
-            upsert_partial(
-                summaries.read(), summary, keys["dataset_summary"], ["number_of_drifted_columns"]
-            )
-        )
+        columns.merge(drift, partial(upsert_keep_first, keys=columns.keys))
+        refreshed = ["number_of_drifted_columns"]
+        summaries.merge(summary, partial(upsert_partial, keys=summaries.keys, update_columns=refreshed))
+    for table in (columns, summaries):
+        table.expire(KEPT_VERSIONS)
 
 
 def backfill_performance(
@@ -49,5 +50,6 @@ def backfill_performance(
     """Model error for every day of ``month``; days already reported stay."""
     table = ensure_metric_tables(spark, root)["model_performance"]
     scored = score(model, days_of_month(current, month))
-    merged = upsert_keep_first(table.read(), daily_performance(scored), ["timestamp"])
-    table.replace(merged)
+    with scratch(spark):
+        table.merge(daily_performance(scored), partial(upsert_keep_first, keys=table.keys))
+    table.expire(KEPT_VERSIONS)

@@ -1,10 +1,12 @@
 """Session settings and the one way in which the library cuts lineage."""
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -119,3 +121,59 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
 def path_exists(spark: SparkSession, path: str) -> bool:
     storage, folder = _on_storage(spark, path)
     return storage.exists(folder)
+
+
+def list_files(spark: SparkSession, path: str, folders: bool = False) -> list[str]:
+    """Names of the files below a path, or with ``folders`` of the folders; dotted ones left out."""
+    storage, folder = _on_storage(spark, path)
+    if not storage.exists(folder):
+        return []
+    found = (s.getPath().getName() for s in storage.listStatus(folder) if s.isDirectory() == folders)
+    return [name for name in found if not name.startswith(".")]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file on any storage."""
+    storage, file = _on_storage(spark, path)
+    stream = storage.open(file)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small text file, whole or not at all. False if there is one of that name.
+
+    On a file system the text is written beside and linked to its name, which fails if
+    the name is taken; elsewhere it is renamed without overwriting, or created so where
+    renaming is no single step.
+    """
+    storage, file = _on_storage(spark, path)
+    storage.mkdirs(file.getParent())
+    if storage.getUri().getScheme() == "file":
+        name = file.toUri().getPath()
+        beside = f"{os.path.dirname(name)}/.{uuid.uuid4().hex}"
+        with open(beside, "x", encoding="utf-8") as out:
+            out.write(text)
+            out.flush()
+            os.fsync(out.fileno())
+        try:
+            os.link(beside, name)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(beside)
+        return True
+    jvm = spark.sparkContext._jvm
+    renames = storage.getUri().getScheme() in ("hdfs", "viewfs")
+    target = jvm.org.apache.hadoop.fs.Path(file.getParent(), f".{uuid.uuid4().hex}") if renames else file
+    try:
+        stream = storage.create(target, False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        return storage.rename(target, file) if renames else True
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise

@@ -8,6 +8,7 @@ from flowtide.constants import LAG_COLUMNS, TARGET
 from flowtide.operators.reshape import long_to_wide, wide_to_long
 from flowtide.schemas import METRIC_TABLES
 from flowtide.session import delete_path, list_folders, path_exists
+from flowtide.sources.keyed_table import KeyedTable
 
 STOCK = T.StructType(
     [
@@ -130,10 +131,13 @@ class VersionedTable:
         rows.select(*columns).write.mode("overwrite").parquet(self._folder(version))
 
 
-def ensure_metric_tables(spark: SparkSession, root: str) -> dict[str, VersionedTable]:
-    """The monitoring tables under ``root``, created where absent."""
+def ensure_metric_tables(spark: SparkSession, root: str) -> dict[str, KeyedTable]:
+    """The monitoring tables under ``root``, created where absent.
+
+    They have one bucket a few days, so that the rows of a new day rewrite one of them.
+    """
     tables = {}
-    for name, (schema, _) in METRIC_TABLES.items():
-        tables[name] = VersionedTable(spark, f"{root}/{name}", schema)
+    for name, (schema, keys) in METRIC_TABLES.items():
+        tables[name] = KeyedTable(spark, f"{root}/{name}", schema, keys, bucket_by=["timestamp"])
         tables[name].create_if_absent()
     return tables
