@@ -5,12 +5,13 @@ in the shared folder, as a user of the library would do; every query then starts
 from one of them or from a given table.
 """
 
-import io
 import zipfile
 from collections.abc import Callable
 from functools import partial
 
+import pandas as pd
 import pyarrow.fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -44,7 +45,7 @@ from flowtide.operators import (
 from flowtide.plans import elt, monitoring, training
 from flowtide.schemas import MODEL_PERFORMANCE, TRIP, TRIP_TEXT
 from flowtide.session import materialize, shared_path, write_table
-from flowtide.sources import tables, trip_files
+from flowtide.sources import tables, trip_files, zip_members
 from flowtide.sources.events import read_events, trips_from_events
 from flowtide.sources.keyed_table import KeyedTable
 from flowtide.streaming import alerts as alert_stream
@@ -168,7 +169,6 @@ def _published(spark, folder):
     this = trips(spark, folder)
     year = F.expr("INTERVAL 366 DAYS")
     moved = this.withColumns({c: F.col(c) + year for c in ("started_at", "ended_at")})
-    moved = moved.where(F.col("rideable_type") == TYPES[0])
     return elt.publish_models(spark, {2024: this, 2025: moved}, 2024, shared_path(spark, "marts"))
 
 
@@ -215,32 +215,30 @@ def metric_table(spark, folder):
     return rounded(table.read(), "rmse", "mae", "abs_error_max")
 
 
-ARCHIVES = 8
+ROWS_PER_ARCHIVE = 20_000
 
 
 def zip_trips(spark, folder):
-    """The trips as zip archives in the shared folder, read back."""
-    path = shared_path(spark, "zips")
-
-    def archive(batches):
-        for rows in batches:
-            content = io.BytesIO()
-            with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as packed:
-                lines = [",".join(TRIP_TEXT.names), *rows["line"]]
-                packed.writestr("trips.csv", "\n".join(lines) + "\n")
-                packed.writestr("__MACOSX/trips.csv", "rubbish")
-            storage, place = pyarrow.fs.FileSystem.from_uri(path) if "://" in path else (pyarrow.fs.LocalFileSystem(), path)
-            storage.create_dir(place, recursive=True)
-            with storage.open_output_stream(f"{place}/{rows['part'].iloc[0]}.zip") as out:
-                out.write(content.getvalue())
-            yield rows[["part"]].head(1)
-
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TRIP_TEXT.names]
-    lines = trips(spark, folder).select(
-        F.pmod(F.hash("ride_id"), F.lit(ARCHIVES)).alias("part"), F.concat_ws(",", *fields).alias("line")
-    )
-    lines.groupBy("part").applyInPandas(lambda rows: next(archive(iter([rows]))), "part int").count()
-    return trip_files.read_trip_zips(spark, path)
+    """The trips as zip archives of several members in the shared folder, read back by member."""
+    path, names = shared_path(spark, "zips"), TRIP_TEXT.names
+
+    def pack(batches):
+        place = f"{path}/{TaskContext.get().partitionId():06d}.zip"
+        storage, place = pyarrow.fs.FileSystem.from_uri(place) if "://" in place else (pyarrow.fs.LocalFileSystem(), place)
+        storage.create_dir(path.split("://", 1)[-1], recursive=True)
+        # one batch a member: nothing longer is held
+        with storage.open_output_stream(place) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as packed:
+            packed.writestr("__MACOSX/trips.csv", "rubbish")
+            for number, rows in enumerate(batches):
+                packed.writestr(f"trips-{number}.csv", "\n".join([",".join(names), *rows["line"]]) + "\n")
+        yield pd.DataFrame({"archive": [place]})
+
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]
+    rows = trips(spark, folder)
+    archives = -(-rows.count() // ROWS_PER_ARCHIVE) or 1
+    lines = rows.select(F.concat_ws(",", *fields).alias("line")).repartition(archives, "line")
+    lines.mapInPandas(pack, "archive string").write.format("noop").mode("overwrite").save()
+    return zip_members.read_zip_members(spark, path)
 
 
 def stg_trips(spark, folder):
