@@ -699,6 +699,7 @@ ORACLES = {
                unnest(generate_series(m::TIMESTAMP, last_day(m)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day
         FROM (SELECT DISTINCT date_trunc('month', started_at)::DATE AS m FROM trips)""",
     "drift_numeric": f"SELECT day, column_name, {rounded('drift_score')} AS drift_score FROM numeric_scores",
+    "drift_sketches": "SELECT day, column_name, true AS is_near FROM numeric_scores",
     "drift_categorical": f"SELECT day, column_name, {rounded('drift_score')} AS drift_score FROM category_scores",
     "column_drift": f"SELECT {DRIFT} FROM drift",
     "drift_summary": f"""
@@ -817,6 +818,7 @@ DATES = {
     "daily_features": ["day"],
     "drift_categorical": ["day"],
     "drift_numeric": ["day"],
+    "drift_sketches": ["day"],
     "month_days": ["month", "day"],
     "score_error": ["target_day"],
     "score_slice": ["target_day"],

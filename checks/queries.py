@@ -30,6 +30,7 @@ from flowtide.operators import (
     clean,
     comoments,
     drift,
+    drift_sketch,
     features,
     forecast,
     models,
@@ -802,6 +803,21 @@ def drift_numeric(spark, folder):
     return rounded(drift.numeric_drift(counts), "drift_score")
 
 
+NEAR = 0.05
+
+
+def drift_sketches(spark, folder):
+    """Scores from the sketches of days, the reference merged from its days: whether near the exact ones."""
+    reference, current = _drift_sides(spark, folder)
+    made = lambda side, label: materialize(drift_sketch.sketches(side, NUMERICAL_FEATURES, F.col("day")), label)
+    merged = materialize(drift_sketch.merge_sketches(made(reference, "reference-days")), "reference-sketch")
+    scores = drift_sketch.sketch_drift(merged, made(current, "days")).withColumnRenamed("drift_score", "about")
+    exact = drift.numeric_drift(_value_counts(spark, folder))
+    return exact.join(scores, ["day", "column_name"], "full_outer").select(
+        "day", "column_name", F.coalesce(F.abs(F.col("about") - F.col("drift_score")) <= NEAR, F.lit(False)).alias("is_near")
+    )
+
+
 def drift_categorical(spark, folder):
     counts = _value_counts(spark, folder)
     return rounded(drift.categorical_drift(counts), "drift_score")
@@ -1013,6 +1029,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         var_groups_fit, var_groups_forecast, boosted_stump, boosted_depth2, boosted_fit_score, boosted_importance,
         dash_performance, day_series, stream_net_flow, stream_daily_stock, stream_alerts,
         stateful_daily_stock, stateful_alerts, stream_closed_slots, daily_corr, checked_trips, keyed_orders,
+        drift_sketches,
     )
 } | {
     "preprocess": complete,
