@@ -542,6 +542,7 @@ ORACLES = {
                {rounded('CASE WHEN aic1 < aic0 THEN previous + slope * x + y_mean - slope * x_mean ELSE previous + every_mean END')} AS predicted
         FROM total_diffs, var_fits
         WHERE NOT in_training AND y IS NOT NULL AND (x IS NOT NULL OR aic1 >= aic0)""",
+    "grown_models": "SELECT start_station_name, count(*) AS n_trips FROM trips WHERE started_at IS NOT NULL GROUP BY 1",
     "stored_stock": "SELECT *, time::DATE AS day FROM stock",
     "stored_features": f"SELECT {FEATURE_COLUMNS} FROM features",
     "wide_csv": "SELECT * FROM stock_all",

@@ -43,7 +43,7 @@ from flowtide.operators import (
     upsert,
     var_groups,
 )
-from flowtide.plans import elt, monitoring, training
+from flowtide.plans import elt, monitoring, named_models, training
 from flowtide.schemas import MODEL_PERFORMANCE, TRIP, TRIP_TEXT
 from flowtide.session import materialize, shared_path, write_table
 from flowtide.sources import tables, trip_files, zip_members
@@ -190,6 +190,21 @@ def published_staging(spark, folder):
     return _published(spark, folder)["stg_trips_2024"]
 
 
+def grown_models(spark, folder):
+    """A third model of a second: starts by station of a table that has grown in two runs."""
+    mark = "started_at"
+    graph = [
+        named_models.Model("mart_starts", ["fct_trips"], stations.starts_by_station, "table"),
+        named_models.Model("fct_trips", ["stg_trips"], lambda t: t.select(mark, "start_station_name"), "growing", mark),
+        named_models.Model("stg_trips", ["raw"], clean.stage_trips),
+    ]
+    raw, root = trips(spark, folder), shared_path(spark, "named")
+    middle = raw.select(F.to_timestamp_ntz(F.date_add(F.min(mark).cast("date"), 15).cast("string"))).scalar()
+    for arrived in (raw.where(F.col(mark) <= middle), raw):
+        built = named_models.run_models(spark, graph, {"raw": arrived}, root)
+    return built["mart_starts"]
+
+
 def stored_stock(spark, folder):
     path = shared_path(spark, "stored-stock")
     tables.write_stock(stock(spark, folder), path)
@@ -1029,7 +1044,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         var_groups_fit, var_groups_forecast, boosted_stump, boosted_depth2, boosted_fit_score, boosted_importance,
         dash_performance, day_series, stream_net_flow, stream_daily_stock, stream_alerts,
         stateful_daily_stock, stateful_alerts, stream_closed_slots, daily_corr, checked_trips, keyed_orders,
-        drift_sketches,
+        drift_sketches, grown_models,
     )
 } | {
     "preprocess": complete,
