@@ -5,8 +5,11 @@ the score adds the weights of a text's terms and the inner products of all pairs
 their vectors, so that two terms may weigh more together than each on its own. With
 s the sum of the vectors, the pairs cost one pass: (|s|^2 - sum of |v|^2) / 2.
 
-The model is fitted on a bounded sample of labelled rows (``SAMPLE``); terms are
-counted and screened by Spark, and the driver gets only the terms that passed.
+The model is fitted on a bounded sample of labelled rows (``SAMPLE``). Terms are
+counted and screened by Spark: those enter that say much about the label alone. So do
+both terms of a pair that says much more than its terms do, for the pairs of the
+``PAIR_TERMS`` terms that stand in most documents. The driver gets the terms that
+passed, and for the pairs one bit a document and term.
 """
 
 import re
@@ -28,6 +31,9 @@ SAMPLE = 12_000  # labelled documents that the model is fitted on, chosen by has
 TERMS = 1200  # terms that may enter the model
 LEAST_DOCUMENTS = 3  # of the sample in which a term has to occur
 LEAST_GAIN = 12.0  # log-likelihood ratio of a term and the label
+PAIR_TERMS = 3000  # terms, those of most documents of the sample, whose pairs are looked at
+PAIR_GAIN = 50.0  # what a pair has to say about the label beyond both of its terms
+PAIRED = 400  # terms that may enter the model for their pairs
 FACTORS = 6
 ROUNDS = 250
 RATE = 0.05
@@ -135,16 +141,72 @@ def fit(
         return FactorizationMachine([], -np.inf, *nothing)
     if ones in (0, n):
         return FactorizationMachine([], float(np.log((ones + 0.5) / (n - ones + 0.5))), *nothing)
-    screened = _screened(bags, n, ones).collect()
-    place = {r["term"]: i for i, r in enumerate(screened)}
     label_of = {r["key"]: r["label"] for r in keys.collect()}
-    row_of = {key: i for i, key in enumerate(sorted(label_of))}
-    x = np.zeros((n, len(place)), np.float32)
-    used = bags.join(F.broadcast(_terms_table(docs, list(place))), "term", "left_semi") if place else bags.limit(0)
-    for part in used.select("key", "term").toPandas().itertuples(index=False):
-        x[row_of[part.key], place[part.term]] = 1
+    single = [r["term"] for r in _screened(bags, n, ones).collect()]
+    often = [r["term"] for r in _frequent(bags, n).collect()]
+    everything = sorted({*single, *often})
+    bits = _bits(bags, everything, sorted(label_of))
     y = np.array([label_of[key] for key in sorted(label_of)], np.float32)
-    return _train(x, y, list(place))
+    place = {t: i for i, t in enumerate(everything)}
+    paired = _paired(bits[:, [place[t] for t in often]], y, often)
+    known = [*single, *[t for t in paired if t not in set(single)]]
+    return _train(bits[:, [place[t] for t in known]].astype(np.float32), y, known)
+
+
+def _bits(bags: DataFrame, known: list[int], keys: list[int]) -> np.ndarray:
+    """Which of the sample's documents, at most ``SAMPLE``, have which of the known terms."""
+    found = np.zeros((len(keys), len(known)), bool)
+    if known:
+        used = bags.join(F.broadcast(_terms_table(bags, known)), "term", "left_semi").select("key", "term").toArrow()
+        rows = np.searchsorted(np.array(keys, np.int64), used.column("key").to_numpy())
+        found[rows, np.searchsorted(np.array(known, np.int64), used.column("term").to_numpy())] = True
+    return found
+
+
+def _frequent(bags: DataFrame, n: int) -> DataFrame:
+    """The terms that part the documents most evenly: at most ``PAIR_TERMS``."""
+    counts = bags.groupBy("term").agg(F.count("*").alias("d"))
+    even = F.least(F.col("d"), n - F.col("d"))
+    return counts.where(even >= LEAST_DOCUMENTS).orderBy(F.desc(even), "term").limit(PAIR_TERMS).select("term")
+
+
+def _entropy_gain(count: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Log-likelihood of a cell's labels at the cell's own share."""
+    log = lambda k: k * np.log(np.maximum(k, 1))
+    return log(ones) + log(count - ones) - log(count)
+
+
+def _paired(bits: np.ndarray, y: np.ndarray, known: list[int]) -> list[int]:
+    """The terms of pairs that say more than their terms, the best pairs first.
+
+    A pair cuts the documents into four cells; what counts is by how much the labels'
+    log-likelihood ratio of the four exceeds those of both cuts into two. Copied words,
+    which stand in the same documents, so gain nothing by each other.
+    """
+    n, total = len(y), float(y.sum())
+    x = bits.astype(np.float32)
+    d, a = x.sum(0, dtype=float), (x * y[:, None]).sum(0, dtype=float)
+    base = float(_entropy_gain(np.array(float(n)), np.array(total)))
+    alone = 2 * (_entropy_gain(d, a) + _entropy_gain(n - d, total - a) - base)
+    best = []
+    for at in range(0, len(known), 256):
+        some = slice(at, at + 256)
+        both = (x[:, some].T @ x).astype(float)
+        hits = (x[y > 0][:, some].T @ x[y > 0]).astype(float)
+        ds, as_ = d[some, None], a[some, None]
+        four = (
+            _entropy_gain(both, hits) + _entropy_gain(ds - both, as_ - hits) + _entropy_gain(d - both, a - hits)
+            + _entropy_gain(n - ds - d + both, total - as_ - a + hits)
+        )
+        gain = 2 * (four - base) - alone[some, None] - alone
+        gain[np.arange(len(gain)), at + np.arange(len(gain))] = -np.inf
+        # a term's best pair: any pair that matters is the best one of a term of its own
+        best += [(-g, at + i, j) for i, (g, j) in enumerate(zip(gain.max(1), gain.argmax(1), strict=True)) if g >= PAIR_GAIN]
+    chosen: dict[int, None] = {}
+    for _, i, j in sorted(best):
+        if len({known[i], known[j]} | chosen.keys()) <= PAIRED:
+            chosen |= {known[i]: None, known[j]: None}
+    return list(chosen)
 
 
 def _terms_table(docs: DataFrame, known: list[int]) -> DataFrame:
