@@ -184,15 +184,19 @@ def _paired(bits: np.ndarray, y: np.ndarray, known: list[int]) -> list[int]:
     which stand in the same documents, so gain nothing by each other.
     """
     n, total = len(y), float(y.sum())
-    x = bits.astype(np.float32)
-    d, a = x.sum(0, dtype=float), (x * y[:, None]).sum(0, dtype=float)
+    # summed over documents in blocks, so that only the counts of all pairs are held whole
+    pairs, pair_ones = (np.zeros((len(known), len(known)), np.float32) for _ in range(2))
+    for at in range(0, n, 1024):
+        x, ones = bits[at : at + 1024].astype(np.float32), y[at : at + 1024] > 0
+        pairs += x.T @ x
+        pair_ones += x[ones].T @ x[ones]
+    d, a = np.diag(pairs).astype(float), np.diag(pair_ones).astype(float)
     base = float(_entropy_gain(np.array(float(n)), np.array(total)))
     alone = 2 * (_entropy_gain(d, a) + _entropy_gain(n - d, total - a) - base)
     best = []
-    for at in range(0, len(known), 256):
-        some = slice(at, at + 256)
-        both = (x[:, some].T @ x).astype(float)
-        hits = (x[y > 0][:, some].T @ x[y > 0]).astype(float)
+    for at in range(0, len(known), 64):
+        some = slice(at, at + 64)
+        both, hits = pairs[some].astype(float), pair_ones[some].astype(float)
         ds, as_ = d[some, None], a[some, None]
         four = (
             _entropy_gain(both, hits) + _entropy_gain(ds - both, as_ - hits) + _entropy_gain(d - both, a - hits)
