@@ -58,7 +58,7 @@ def test_scores_are_within_the_bound(table, values, k, nearly):
         own = values[r["day"]]
         width = max(whole.max(), own.max()) - min(whole.min(), own.min())
         gap = abs(r["drift_score"] * whole.std() - wasserstein(own, whole))
-        assert gap <= (2 * 2.3 / k + 0.5 / drift_sketch.STEPS) * width
+        assert gap <= (2 * drift_sketch.rank_error(k) + 0.5 / drift_sketch.STEPS) * width
         # the bound is wide where the tail is; the usual size does far better
         assert nearly is None or gap <= nearly * whole.std()
 
