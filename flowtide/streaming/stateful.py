@@ -10,6 +10,10 @@ State is kept in RocksDB and goes into the checkpoint of the query with the posi
 the source, so a query that is started again goes on where it ended. Results are a log
 of changes, appended once; the readers take the newest one.
 
+Every batch loads and commits every partition of the state, however few rows it has. So
+their number does not follow ``spark.sql.shuffle.partitions``: it is one a core unless
+``partitions`` says otherwise, and the checkpoint keeps it.
+
 A batch's rows of one series and day are one task's work; so are its flows of a station
 that has a third of all.
 """
@@ -27,20 +31,24 @@ from flowtide.constants import ALERT_STEP, INITIAL_STOCK, SERIES, SLOT_MINUTES
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PARTITIONS = "spark.sql.shuffle.partitions"
 KEY = (*SERIES, "day")
 CHANGES = "station string, rideable_type string, day date, slot int, stock bigint, version bigint, late_flow bigint"
 ALERTS = "station string, rideable_type string, day date, alerts array<string>, version bigint"
 
 
 @contextmanager
-def _rocks(spark: SparkSession) -> Iterator[None]:
-    """Queries that start inside keep their state in RocksDB."""
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKS)
+def _rocks(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """Queries that start inside keep their state in RocksDB, in so many partitions."""
+    wanted = {_PROVIDER: _ROCKS, _PARTITIONS: str(partitions)}
+    before = {key: spark.conf.get(key) for key in wanted}
     try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 class _OfDay(StatefulProcessor):
@@ -144,12 +152,15 @@ class DayAlerts(_OfDay):
             yield pd.DataFrame([row])
 
 
-def _started(rows: DataFrame, processor: _OfDay, schema: str, path: str, progress: str) -> StreamingQuery:
+def _started(
+    rows: DataFrame, processor: _OfDay, schema: str, path: str, progress: str, partitions: int | None
+) -> StreamingQuery:
+    partitions = partitions or rows.sparkSession.sparkContext.defaultParallelism
     mode = "none" if processor.expire_ms is None else "processingTime"
     changes = rows.groupBy(*KEY).transformWithStateInPandas(processor, schema, "Append", mode)
     # a timer asks for one batch after the other, so such a query runs until it is stopped
     trigger = {"availableNow": True} if processor.expire_ms is None else {"processingTime": "1 second"}
-    with _rocks(rows.sparkSession):
+    with _rocks(rows.sparkSession, partitions):
         return (
             changes.writeStream.format("parquet")
             .outputMode("append")
@@ -169,14 +180,14 @@ def _dated(rows: DataFrame, slot_minutes: int, value: str) -> DataFrame:
 
 def start_stock(
     flows: DataFrame, path: str, progress: str, initial_stock: int = INITIAL_STOCK,
-    slot_minutes: int = SLOT_MINUTES, expire: timedelta | None = None,
+    slot_minutes: int = SLOT_MINUTES, expire: timedelta | None = None, partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query that logs the stock after every busy slot whenever it changes.
 
     ``flows`` hold time, station, type and flow. Flows without a time belong to no slot.
     """
     rows = _dated(flows.withColumn("flow", F.col("flow").cast("bigint")), slot_minutes, "flow")
-    return _started(rows, DayStock(initial_stock, slot_minutes, expire), CHANGES, path, progress)
+    return _started(rows, DayStock(initial_stock, slot_minutes, expire), CHANGES, path, progress, partitions)
 
 
 def _slot_time(slot_minutes: int):
@@ -201,6 +212,7 @@ def read_late_flows(spark: SparkSession, path: str, slot_minutes: int = SLOT_MIN
 def start_alerts(
     predictions: DataFrame, path: str, progress: str, initial_stock: int = INITIAL_STOCK,
     step: int = ALERT_STEP, slot_minutes: int = SLOT_MINUTES, expire: timedelta | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query that logs a day's alerts whenever they change.
 
@@ -208,7 +220,7 @@ def start_alerts(
     order. Predictions for a day whose state has expired change nothing.
     """
     rows = _dated(predictions.withColumn("prediction", F.col("prediction").cast("double")), slot_minutes, "prediction")
-    return _started(rows, DayAlerts(initial_stock, step, slot_minutes, expire), ALERTS, path, progress)
+    return _started(rows, DayAlerts(initial_stock, step, slot_minutes, expire), ALERTS, path, progress, partitions)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:

@@ -118,3 +118,29 @@ def test_alert_fold(known):
             limit -= 10
             want.append(str(START + timedelta(minutes=15 * (slot + 1))))
     assert processor.alerts(START.date(), known) == want
+
+
+@pytest.mark.parametrize("start, kind, row", [
+    (stateful.start_stock, FLOWS, (START, "a", "t", 1)), (stateful.start_alerts, PREDICTIONS, (START, "a", "t", -5.0)),
+])
+def test_state_partitions_do_not_follow_the_shuffle(spark, start, kind, row):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    source, path = Source(spark, kind), shared_path(spark, "few-partitions")
+
+    def partitions(**options):
+        source.add([row], 1)
+        query = start(source.stream(), path, f"{path}-progress", **options)
+        query.awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "23"
+        # the last progress may be of an empty batch; its state has as many partitions
+        return query.lastProgress["stateOperators"][0]["numShufflePartitions"]
+
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        assert partitions() == cores
+        assert partitions(partitions=cores + 3) == cores  # as the checkpoint has it
+        path = shared_path(spark, "more-partitions")
+        assert partitions(partitions=cores + 3) == cores + 3
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
