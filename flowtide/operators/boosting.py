@@ -1,11 +1,12 @@
 """Boosted regression trees with second-order gains, for inputs that may be missing.
 
-Inputs are cut into bins once. A level of all trees that grow is one Spark aggregate:
-tasks walk their rows down the trees so far and add up gradients and Hessians by node,
-input and bin; Spark merges these sums, and the best split of every node is found where
-the node's sums are: in a task, or on the driver while nodes and bins bound their
-number. Many models (settings and folds of a search) grow in the same passes, with the
-model as one more key.
+Inputs are cut into bins once, and the rows dealt evenly to as many tasks as there are
+cores, in blocks: a level reads all of them and would else spend its time on unpacking rows. A level of all trees that grow is one Spark aggregate: tasks walk their rows down
+the trees that their predictions do not hold yet and add up gradients and Hessians by
+node, input and bin; Spark merges these sums, and the best split of every node is found
+where the node's sums are: in a task, or on the driver while nodes and bins bound their
+number. So bounded, a task holds its sums too, and sends each once. Many models (settings
+and folds of a search) grow in the same passes, with the model as one more key.
 
 A missing input is a bin of its own, tried on both sides of every cut. The categories of
 a node are put in the order of their gradients and cut like numbers, so that a split
@@ -43,10 +44,16 @@ from flowtide.session import drop_table, materialize, scratch, write_table
 BINS = 256
 PENALTY = 1.0  # on the square of a leaf's value
 LEAST_GAIN = 1e-6
-#: Sums of a level, by what its nodes and bins allow at most, that the driver may search for
-#: splits itself; beyond that each node is searched in a task, by the same function.
+#: Sums of a level, by what its nodes and bins allow at most, that a task may hold and the driver
+#: search for splits itself; beyond that tasks send sums by block of rows, and each node is
+#: searched in a task, by the same function.
 DRIVER_SUMS = 1 << 20
 STORED_EVERY = 10  # rounds after which the predictions so far are written
+TASK_ROWS = 1 << 14  # fewer are not worth another task
+BLOCK_ROWS, BLOCK_BYTES = 4096, 1 << 18  # a block has no more than either
+#: Rows a task from which every round's predictions are written: walking its tree again on every
+#: level of the rounds after it costs more.
+STORED_ROWS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -95,10 +102,11 @@ class Tree:
 
     def nodes(self, x: np.ndarray) -> np.ndarray:
         """The leaf of every row of bins."""
-        at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
+        at, first, x = np.zeros(len(x), np.int64), np.arange(len(x)) * x.shape[1], x.ravel()
+        width, goes_left = self.goes_left.shape[1], self.goes_left.ravel()
         while True:
-            goes_left = self.goes_left[at, x[rows, self.feature[at]]]
-            after = np.where(goes_left, self.left[at], self.right[at])
+            left = goes_left.take(at * width + x.take(first + self.feature.take(at)))
+            after = np.where(left, self.left.take(at), self.right.take(at))
             if (after == at).all():
                 return at
             at = after
@@ -197,20 +205,37 @@ def _input_columns(inputs: Inputs) -> list:
 
 
 def _binned(features: DataFrame, inputs: Inputs, target: str, models: int) -> DataFrame:
-    """``y, fold, x, raw`` of the rows with a target: their bins and the models' predictions."""
+    """Blocks of the rows with a target: ``y, fold, x, raw``, their bins and the models' predictions.
+
+    Dealt evenly: how the rows lie, a file a series, does not bound the tasks of a level.
+    """
+    kind = _bin_type(inputs)
+    size = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (12 + 4 * len(inputs.names) + 8 * models)))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            made = rows[["y", "fold"]].copy()
-            made["x"] = list(inputs.bins(rows))
-            yield made
+        for batch in batches:
+            for start in range(0, len(batch), size):
+                rows = batch[start : start + size]
+                x, raw = inputs.bins(rows).astype(kind), np.zeros((len(rows), models))
+                # a row of no fold is left out of none
+                fold = rows["fold"].fillna(-1).to_numpy("<i4")
+                yield pd.DataFrame([[a.tobytes() for a in (rows["y"].to_numpy("<f8"), fold, x, raw)]], columns=BLOCK)
 
     fold = F.col("fold").cast("int") if "fold" in features.columns else F.lit(-1)
     rows = features.where(F.col(target).isNotNull()).select(
         F.col(target).cast("double").alias("y"), fold.alias("fold"), *_input_columns(inputs)
     )
-    x = rows.mapInPandas(cut, "y double, fold int, x array<int>")
-    return x.select("*", F.array_repeat(F.lit(0.0), models).alias("raw"))
+    most = -(-rows.count() // TASK_ROWS) or 1
+    dealt = rows.repartition(min(most, features.sparkSession.sparkContext.defaultParallelism))
+    return dealt.mapInPandas(cut, _BLOCKS)
+
+
+BLOCK = ["y", "fold", "x", "raw"]
+_BLOCKS = ", ".join(f"{c} binary" for c in BLOCK)
+
+
+def _bin_type(inputs: Inputs) -> str:
+    return "<u2" if inputs.width <= 1 << 16 else "<i4"
 
 
 _SUMS = "model int, node int, feature int, bin int, g double, n bigint"
@@ -229,10 +254,17 @@ class _Forest:
         self.stored = 0  # trees of every model that ``raw`` holds
         self.open: dict[int, list[int]] = {}  # of the tree that grows: nodes to be split
 
-    def arrays(self, batch: pa.RecordBatch):
-        wide = lambda name, n: batch.column(name).flatten().to_numpy().reshape(-1, n)
-        y, fold = batch.column("y").to_numpy(), batch.column("fold").to_numpy()
-        return y, fold, wide("x", len(self.inputs.names)), wide("raw", len(self.settings))
+    def cells(self, model: int) -> int:
+        """The most sums that a level of the model has."""
+        return len(self.open[model]) * len(self.inputs.names) * self.inputs.width
+
+    def blocks(self, batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+        """``y, fold, x, raw`` of one block after the other."""
+        kinds = ("<f8", "<i4", _bin_type(self.inputs), "<f8")
+        for batch in batches:
+            for block in zip(*(batch.column(c) for c in BLOCK), strict=True):
+                y, fold, x, raw = (np.frombuffer(b.as_buffer(), k) for b, k in zip(block, kinds, strict=True))
+                yield [y, fold, x.reshape(len(y), -1).astype(np.int32), raw.reshape(len(y), -1)]
 
     def predicted(self, model: int, x: np.ndarray, raw: np.ndarray, upto: int) -> np.ndarray:
         """What the model's first ``upto`` trees predict."""
@@ -240,11 +272,15 @@ class _Forest:
         made = sum((t.value[t.nodes(x)] for t in later), np.zeros(len(x)))
         return raw[:, model] + self.settings[model].rate * made
 
-    def sums(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        """Gradients of the squared error by model, node, input and bin; Hessians are 1."""
+    def sums(self, batches: Iterator[pa.RecordBatch], held: bool) -> Iterator[pd.DataFrame]:
+        """Gradients of the squared error by model, node, input and bin; Hessians are 1.
+
+        ``held``: one sum of a kind for all blocks, else for each.
+        """
         inputs, width = len(self.inputs.names), self.inputs.width
-        for batch in batches:
-            y, fold, all_x, raw = self.arrays(batch)
+        if held:
+            total = {m: (np.zeros(self.cells(m)), np.zeros(self.cells(m), np.int64)) for m in self.open}
+        for y, fold, all_x, raw in self.blocks(batches):
             for model, nodes in self.open.items():
                 own = np.flatnonzero(fold != self.settings[model].without_fold)
                 x, tree = all_x[own], self.trees[model][-1]
@@ -254,19 +290,25 @@ class _Forest:
                 live = np.flatnonzero(at >= 0)
                 before = len(self.trees[model]) - 1
                 g = self.bases[model] + self.predicted(model, x[live], raw[own[live]], before) - y[own[live]]
-                key = (at[live, None] * inputs + np.arange(inputs)) * width + x[live]
-                keys, where = np.unique(key.ravel(), return_inverse=True)
-                if len(keys):
-                    yield pd.DataFrame(
-                        {
-                            "model": model,
-                            "node": np.array(nodes)[keys // (inputs * width)],
-                            "feature": keys // width % inputs,
-                            "bin": keys % width,
-                            "g": np.bincount(where, np.repeat(g, inputs)),
-                            "n": np.bincount(where),
-                        }
-                    )
+                keys = ((at[live, None] * inputs + np.arange(inputs)) * width + x[live]).ravel()
+                if held:
+                    gradients, rows = total[model]
+                    gradients += np.bincount(keys, np.repeat(g, inputs), len(rows))
+                    rows += np.bincount(keys, minlength=len(rows))
+                elif len(keys):
+                    keys, where = np.unique(keys, return_inverse=True)
+                    yield self.summed(model, keys, np.bincount(where, np.repeat(g, inputs)), np.bincount(where))
+        if held:
+            for model, (gradients, rows) in total.items():
+                keys = np.flatnonzero(rows)
+                yield self.summed(model, keys, gradients[keys], rows[keys])
+
+    def summed(self, model: int, keys: np.ndarray, g: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+        inputs, width = len(self.inputs.names), self.inputs.width
+        nodes = np.array(self.open[model])[keys // (inputs * width)]
+        return pd.DataFrame(
+            {"model": model, "node": nodes, "feature": keys // width % inputs, "bin": keys % width, "g": g, "n": n}
+        )
 
     def best_split(self, sums: pd.DataFrame, penalty: float) -> pd.DataFrame:
         """The split of one node with the largest gain: a row, with no gain if there is none."""
@@ -311,18 +353,18 @@ def _grow_round(table: DataFrame, forest: _Forest, number: int, penalty: float,
     level = 0
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in forest.sums(batches):
+        for found in forest.sums(batches, few):
             yield pa.RecordBatch.from_pandas(found.astype(_SUM_TYPES), preserve_index=False)
 
     def best(rows: pd.DataFrame) -> pd.DataFrame:
         return forest.best_split(rows, penalty)
 
     while forest.open:
+        few = sum(map(forest.cells, forest.open)) <= DRIVER_SUMS
         partial = table.mapInArrow(sums, _SUMS)
         merged = partial.groupBy("model", "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
-        most = sum(map(len, forest.open.values())) * len(forest.inputs.names) * forest.inputs.width
-        if most <= DRIVER_SUMS:
-            nodes = merged.toPandas().groupby(["model", "node"])
+        if few:
+            nodes = merged.toArrow().to_pandas().groupby(["model", "node"])
             found = pd.concat([best(own) for _, own in nodes]) if len(nodes) else pd.DataFrame(columns=["model", "node"])
         else:
             found = merged.groupBy("model", "node").applyInPandas(best, _SPLITS).toPandas()
@@ -347,24 +389,23 @@ def _stored(spark: SparkSession, path: str, forest: _Forest) -> str:
     upto = max(map(len, forest.trees))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            _, _, x, raw = forest.arrays(batch)
+        for y, fold, x, raw in forest.blocks(batches):
             made = np.stack([forest.predicted(m, x, raw, upto) for m in range(len(forest.settings))], axis=1)
-            starts = np.arange(len(x) + 1, dtype=np.int32) * made.shape[1]
-            lists = pa.ListArray.from_arrays(pa.array(starts), pa.array(made.ravel()))
-            kept = [batch.column(c) for c in ("y", "fold", "x")]
-            yield pa.RecordBatch.from_arrays([*kept, lists], names=["y", "fold", "x", "raw"])
+            block = (y, fold, x.astype(_bin_type(forest.inputs)), made)
+            yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()]) for a in block], names=BLOCK)
 
     table = spark.read.parquet(path)
-    after = write_table(table.mapInArrow(add, "y double, fold int, x array<int>, raw array<double>"), "boosting")
+    after = write_table(table.mapInArrow(add, _BLOCKS), "boosting")
     drop_table(spark, path)
     forest.stored = upto
     return after
 
 
-def _bases(table: DataFrame, settings: list[Setting]) -> list[float]:
+def _bases(rows: DataFrame, target: str, settings: list[Setting]) -> list[float]:
     """The mean target of every model's rows."""
-    of = {r["fold"]: (r["s"], r["n"]) for r in table.groupBy("fold").agg(F.sum("y").alias("s"), F.count("y").alias("n")).collect()}
+    y, fold = F.col(target).cast("double"), F.col("fold").cast("int") if "fold" in rows.columns else F.lit(-1)
+    by_fold = rows.groupBy(fold.alias("fold")).agg(F.sum(y).alias("s"), F.count(y).alias("n"))
+    of = {r["fold"]: (r["s"], r["n"]) for r in by_fold.collect()}
     bases = []
     for s in settings:
         sums = [v for fold, v in of.items() if fold != s.without_fold]
@@ -374,11 +415,17 @@ def _bases(table: DataFrame, settings: list[Setting]) -> list[float]:
 
 def held_out_errors(table: DataFrame, forest: _Forest) -> dict[int, float]:
     """Mean squared error of every model on the fold that it has not seen."""
-    left_out = F.array(*[F.lit(s.without_fold if s.without_fold is not None else -2) for s in forest.settings])
-    bases = F.array(*[F.lit(float(b)) for b in forest.bases])
-    rows = table.select("y", "fold", F.posexplode(F.zip_with("raw", bases, lambda a, b: a + b)).alias("model", "p"))
-    rows = rows.where(F.col("fold") == F.get(left_out, F.col("model")))
-    found = rows.groupBy("model").agg(F.avg(F.pow(F.col("y") - F.col("p"), 2)).alias("mse"))
+
+    def errors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for y, fold, _, raw in forest.blocks(batches):
+            for m, s in enumerate(forest.settings):
+                own = fold == s.without_fold
+                if own.any():
+                    e = y[own] - (forest.bases[m] + raw[own, m])
+                    yield pa.RecordBatch.from_pydict({"model": [m], "s": [float(e @ e)], "n": [len(e)]})
+
+    sums = table.mapInArrow(errors, "model bigint, s double, n bigint").groupBy("model")
+    found = sums.agg((F.sum("s") / F.sum("n")).alias("mse"))
     return {r["model"]: r["mse"] for r in found.collect()}
 
 
@@ -395,9 +442,14 @@ def fit_many(
     the models that go on.
     """
     spark, settings = features.sparkSession, list(settings)
-    inputs = learn_inputs(features.where(F.col(target).isNotNull()), names, categories, bins)
-    path = write_table(_binned(features, inputs, target, len(settings)), "boosting")
-    forest = _Forest(settings, _bases(spark.read.parquet(path), settings), inputs)
+    used = dict.fromkeys([*names, target, *(["fold"] if "fold" in features.columns else [])])
+    known = write_table(features.where(F.col(target).isNotNull()).select(*used), "boosting-rows")
+    rows = spark.read.parquet(known)
+    inputs = learn_inputs(rows, names, categories, bins)
+    path = write_table(_binned(rows, inputs, target, len(settings)), "boosting")
+    every_round = rows.count() > STORED_ROWS * spark.sparkContext.defaultParallelism
+    forest = _Forest(settings, _bases(rows, target, settings), inputs)
+    drop_table(spark, known)
     alive: Sequence[int] = range(len(settings))
     most = max(s.rounds for s in settings)
     for number in range(most):
@@ -405,9 +457,10 @@ def fit_many(
             break
         _grow_round(spark.read.parquet(path), forest, number, penalty, alive)
         last = number + 1 == most
-        if (number + 1) % STORED_EVERY == 0 and not last or last and on_stored:
+        due = (number + 1) % STORED_EVERY == 0 and not last or last and on_stored
+        if due or every_round and not last:
             path = _stored(spark, path, forest)
-            if on_stored:
+            if due and on_stored:
                 alive = on_stored(spark.read.parquet(path), forest, number + 1)
     drop_table(spark, path)
     return [BoostedTrees(inputs, s, float(b), t) for s, b, t in zip(settings, forest.bases, forest.trees, strict=True)]

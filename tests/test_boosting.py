@@ -128,6 +128,45 @@ def test_predictions_stored_between_rounds(table, rows, monkeypatch):
     assert predictions(model, table) == pytest.approx(list(plain(rows, rows, 5, 2, 0.3)))
 
 
+def test_predictions_stored_every_round_of_many_rows(table, rows, monkeypatch):
+    monkeypatch.setattr(boosting, "STORED_ROWS", 10)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 7)
+    stored, calls = boosting._stored, []
+    monkeypatch.setattr(boosting, "_stored", lambda *args: calls.append(1) or stored(*args))
+    model = fit(table, rounds=4, depth=2, rate=0.3)
+    assert len(calls) == 3
+    assert predictions(model, table) == pytest.approx(list(plain(rows, rows, 4, 2, 0.3)))
+
+
+def test_rows_of_one_file_are_dealt_to_all_tasks(spark, table, monkeypatch):
+    monkeypatch.setattr(boosting, "TASK_ROWS", 16)
+    grow, parts = boosting._grow_round, []
+
+    def watched(blocks, *args):
+        sizes = [sum(len(r["y"]) // 8 for r in part) for part in blocks.rdd.glom().collect()]
+        parts.append([n for n in sizes if n])
+        return grow(blocks, *args)
+
+    monkeypatch.setattr(boosting, "_grow_round", watched)
+    fit(table.coalesce(1), rounds=1, depth=1)
+    assert sum(parts[0]) == 400 and len(parts[0]) == spark.sparkContext.defaultParallelism
+
+
+def test_a_task_sends_each_sum_once():
+    inputs = boosting.Inputs(("a", "b"), ((1.0, 2.0), (5.0,)), (None, None))
+    forest = boosting._Forest([boosting.Setting(1, 1)], [0.0], inputs)
+    forest.trees, forest.open = [[boosting.Tree.root(inputs.width)]], {0: [0]}
+    arrays = (np.array([1.0, 2.0]), np.array([-1, -1], "<i4"), np.array([[0, 1], [2, 1]], "<u2"), np.zeros((2, 1)))
+    block = boosting.pa.RecordBatch.from_arrays([boosting.pa.array([a.tobytes()]) for a in arrays], names=boosting.BLOCK)
+    for held, n in ((True, 3), (False, 9)):
+        found = boosting.pd.concat(forest.sums(iter([block] * 3), held))
+        assert len(found) == n
+        merged = found.groupby(["feature", "bin"])[["g", "n"]].sum()
+        assert merged.to_dict("index") == {
+            (0, 0): {"g": -3.0, "n": 3}, (0, 2): {"g": -6.0, "n": 3}, (1, 1): {"g": -9.0, "n": 6},
+        }
+
+
 def test_every_row_is_scored(spark, table):
     model = fit(table, rounds=2, depth=2)
     asked = table.limit(1).select("time", "rideable_type", "fold", "y").crossJoin(
