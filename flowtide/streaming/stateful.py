@@ -10,6 +10,9 @@ State is kept in RocksDB and goes into the checkpoint of the query with the posi
 the source, so a query that is started again goes on where it ended. Results are a log
 of changes, appended once; the readers take the newest one.
 
+A day's slots are one value of the state: a batch reads it and writes it once a series and
+day, since every call to the state goes through a socket, whatever it carries.
+
 Every batch loads and commits every partition of the state, however few rows it has. So
 their number does not follow ``spark.sql.shuffle.partitions``: it is one a core unless
 ``partitions`` says otherwise, and the checkpoint keeps it.
@@ -60,13 +63,17 @@ class _OfDay(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.slots = handle.getMapState("slots", "slot int", "value double")
-        self.about = handle.getValueState("about", "version bigint, closed boolean")
+        self.about = handle.getValueState(
+            "about", "version bigint, closed boolean, slots array<int>, values array<double>"
+        )
 
-    def next_version(self) -> tuple[int, bool]:
-        version, closed = self.about.get() if self.about.exists() else (0, False)
-        self.about.update((version + 1, closed))
-        return version + 1, closed
+    def known(self) -> tuple[int, bool, dict[int, float]]:
+        """The version, whether the day is closed, and the values by slot."""
+        version, closed, slots, values = self.about.get() or (0, False, [], [])
+        return version, closed, dict(zip(slots, values, strict=True))
+
+    def keep(self, version: int, closed: bool, values: dict[int, float]) -> None:
+        self.about.update((version, closed, list(values), list(values.values())))
 
     def wait(self, timers) -> None:
         """The day ends if nothing comes from now on for ``expire``."""
@@ -76,12 +83,8 @@ class _OfDay(StatefulProcessor):
             self.handle.deleteTimer(old)
         self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + self.expire_ms)
 
-    def known(self) -> dict[int, float]:
-        return {slot: value for (slot,), (value,) in self.slots.iterator()}
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.slots.clear()
-        self.about.update((self.about.get()[0], True))
+        self.keep(self.known()[0], True, {})
         return iter(())
 
     def close(self) -> None:
@@ -97,18 +100,18 @@ class DayStock(_OfDay):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(part.groupby("slot")["flow"].sum() for part in rows).groupby(level=0).sum()
-        version, closed = self.next_version()
+        before, closed, total = self.known()
+        version = before + 1
         if closed:
             made = pd.DataFrame({"slot": new.index, "stock": None, "late_flow": new.to_numpy()})
         else:
-            total = self.known()
             for slot, flow in new.items():
-                total[slot] = total.get(slot, 0.0) + flow
-                self.slots.updateValue((int(slot),), (float(total[slot]),))
+                total[int(slot)] = total.get(slot, 0.0) + float(flow)
             self.wait(timerValues)
             running = self.initial_stock + pd.Series(total, dtype="float64").sort_index().cumsum()
             changed = running[running.index >= new.index.min()].astype("int64")
             made = pd.DataFrame({"slot": changed.index, "stock": changed.to_numpy(), "late_flow": None})
+        self.keep(version, closed, total)
         made = made.astype({"slot": "int32", "stock": "Int64", "late_flow": "Int64"})
         yield made.assign(**dict(zip(KEY, key, strict=True)), version=version)[
             [*KEY, "slot", "stock", "version", "late_flow"]
@@ -139,13 +142,15 @@ class DayAlerts(_OfDay):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # of a slot sent twice the later batch counts, and in a batch the greatest
         new = pd.concat(part.groupby("slot", dropna=False)["prediction"].max() for part in rows).groupby(level=0).max()
-        version, closed = self.next_version()
+        before, closed, known = self.known()
+        version = before + 1
+        if not closed:
+            known |= {int(slot): float(value) for slot, value in new.items()}  # no prediction is NaN, below no limit
+        self.keep(version, closed, known)
         if closed:
             return
-        for slot, value in new.items():
-            self.slots.updateValue((int(slot),), (float(value),))  # no prediction is NaN, below no limit
         self.wait(timerValues)
-        found = self.alerts(key[-1], self.known())
+        found = self.alerts(key[-1], known)
         if not self.last.exists() or list(self.last.get()[0]) != found:
             self.last.update((found,))
             row = dict(zip(KEY, key, strict=True)) | {"alerts": found, "version": version}

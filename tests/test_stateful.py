@@ -4,6 +4,7 @@ import random
 import time
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -144,3 +145,57 @@ def test_state_partitions_do_not_follow_the_shuffle(spark, start, kind, row):
         assert partitions(partitions=cores + 3) == cores + 3
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+class Handle:
+    """State in memory that counts the calls which a task sends through its socket."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def state(self, name, schema):
+        outer = self
+
+        class State:
+            def get(self):
+                outer.calls += 1
+                return outer.held.get(name)
+
+            def exists(self):
+                outer.calls += 1
+                return name in outer.held
+
+            def update(self, value):
+                outer.calls += 1
+                outer.held[name] = value
+
+            def updateValue(self, key, value):
+                outer.calls += 1
+                outer.held.setdefault(name, {})[key] = value
+
+            def iterator(self):
+                outer.calls += 1
+                return iter(outer.held.get(name, {}).items())
+
+        return State()
+
+    def getValueState(self, name, schema):
+        return self.state(name, schema)
+
+    def getMapState(self, name, *schemas):
+        return self.state(name, schemas)
+
+
+@pytest.mark.parametrize("processor, value", [
+    (stateful.DayStock(10, 15, None), "flow"), (stateful.DayAlerts(10, 10, 15, None), "prediction"),
+])
+def test_calls_to_the_state_do_not_grow_with_the_slots(processor, value):
+    calls = []
+    for slots in (2, 96):
+        handle = Handle()
+        processor.init(handle)
+        for batch in range(3):
+            rows = pd.DataFrame({"slot": range(slots), value: -1.0 - batch})
+            list(processor.handleInputRows(("a", "t", START.date()), iter([rows]), None))
+        calls.append(handle.calls)
+    assert calls[0] == calls[1]
