@@ -11,9 +11,11 @@ the sequences depend on the documents and not on how they are stored, memory is
 bounded, no text is shuffled, and a lost task packs the same block again.
 """
 
+import string
+import struct
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,17 +30,32 @@ from flowtide.session import materialize
 CAPACITY = 4096
 END = 1
 BLOCK = 50_000
-KNOWN = 400_000  # words whose ids a worker keeps
+KNOWN = 400_000  # words whose ids a worker keeps, and as many small forms
 LONGEST_KNOWN = 48
+MARKS = string.punctuation.replace("'", "")  # behind letters they are one piece; the other one may begin a piece
 LATIN = 0x250  # below this code point letters are lower-cased one by one alike everywhere
 
 
+class _Known(dict):
+    """Ids by word. A word that is not held is looked up; whether it is kept is up to that."""
+
+    def __init__(self, look_up: Callable[[bytes], bytes]):
+        self.look_up = look_up
+
+    def __missing__(self, word: bytes) -> bytes:
+        return self.look_up(word)
+
+
 class WordTokenizer:
     """The ids of a text, from a vocabulary file; equal words are looked up once.
 
     The tokenizer drops blanks and never joins across them, so a text's ids are those
     of its words. Within a word of plain letters there is nothing to split either, and
-    the model alone gives the ids; all other words go through the whole tokenizer.
+    the model alone gives the ids; marks behind it are a piece of their own. All other
+    words go through the whole tokenizer.
+
+    Most words of a corpus are rare. So a word is kept by its small letters first, whatever
+    its capitals and marks, and as it stands from the second time on.
     """
 
     def __init__(self, path: str):
@@ -48,45 +65,50 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.bytes = _byte_letters()
-
-    def _letters(self, word: str) -> bytes:
-        small = "".join(self.bytes[b] for b in word.lower().encode())
-        return np.array([t.id for t in self.tokenizer.model.tokenize(small)], "<u4").tobytes()
-
-    def _whole(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        self.model = self.tokenizer.model
+        self.known = _Known(self._ids)
+        self.once: dict[str, bytes] = {}
+        self.bytes = dict(enumerate(_byte_letters()))
+
+    def _letters(self, small: str) -> bytes:
+        shown = small if small.isascii() else small.encode().decode("latin-1").translate(self.bytes)
+        return _packed([t.id for t in self.model.tokenize(shown)])
+
+    def _whole(self, text: str) -> bytes:
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _looked_up(self, part: str, ids: Callable[[str], bytes]) -> bytes:
+        found = ids(part)
+        if len(part) <= LONGEST_KNOWN:
+            if len(self.once) >= KNOWN:
+                self.once.clear()  # what is frequent is known by now
+            self.once[part] = found
+        return found
 
     def _ids(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "surrogatepass")
-        letters = text.rstrip(".,")
-        if letters.lower().isalpha() and max(map(ord, letters)) < LATIN:
-            marks = text[len(letters) :]
-            found = self._letters(letters) + (self._look_up(marks.encode()) if marks else b"")
-        else:
-            found = self._whole(text)
-        if len(word) <= LONGEST_KNOWN and len(self.known) < KNOWN:
+        letters = text.rstrip(MARKS)
+        part, ids, marks = letters.lower(), self._letters, text[len(letters) :]
+        if not (part.isalpha() and (letters.isascii() or max(map(ord, letters)) < LATIN)):
+            part, ids, marks = text, self._whole, ""
+        found = self.once.get(part)
+        again = found is not None
+        if not again:
+            found = self._looked_up(part, ids)
+        if marks:
+            found += self.once.get(marks) or self._looked_up(marks, self._whole)
+        if again and len(word) <= LONGEST_KNOWN and len(self.known) < KNOWN:
             self.known[word] = found
         return found
 
-    def _look_up(self, word: bytes) -> bytes:
-        found = self.known.get(word)
-        return self._whole_and_keep(word) if found is None else found
-
-    def _whole_and_keep(self, word: bytes) -> bytes:
-        found = self.known[word] = self._whole(word.decode())
-        return found
-
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids, the end mark last."""
-        known = self.known
-        parts = []
-        for word in (text or "").encode("utf-8", "surrogatepass").split():
-            found = known.get(word)
-            parts.append(self._ids(word) if found is None else found)
-        parts.append(END.to_bytes(4, "little"))
-        return b"".join(parts)
+        words = (text or "").encode("utf-8", "surrogatepass").split()
+        return b"".join(map(self.known.__getitem__, words)) + END.to_bytes(4, "little")
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _byte_letters() -> list[str]:

@@ -1,6 +1,7 @@
 """The packing does not depend on how the documents are stored."""
 
 import random
+import struct
 
 import public_tokenizers
 
@@ -33,3 +34,28 @@ def test_blocks_follow_from_the_number_of_pieces(spark, monkeypatch):
     assert out.groupby("sequence_id").length.sum().max() <= 4096
     for _, group in out.sort_values("offset").groupby("sequence_id"):
         assert group.offset.tolist() == [0, *group.length.cumsum().tolist()[:-1]]
+
+
+def test_forms_of_a_word_are_tokenized_once(monkeypatch):
+    asked = []
+    for name in ("_letters", "_whole"):
+        real = getattr(packing.WordTokenizer, name)
+        monkeypatch.setattr(
+            packing.WordTokenizer, name, lambda self, part, real=real: asked.append(part.lower()) or real(self, part)
+        )
+    words = packing.WordTokenizer(VOCABULARY)
+    for text in ("zebraness Zebraness, ZEBRANESS!! zebraness***", "Zebraness!! zebraness*** Zebraness,"):
+        whole = [*words.tokenizer.encode(text, add_special_tokens=False).ids, packing.END]
+        assert words.ids(text) == struct.pack(f"<{len(whole)}I", *whole)
+    assert sorted(asked) == ["!!", "***", ",", "zebraness"]
+
+
+def test_ids_do_not_depend_on_what_is_kept(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN", 3)
+    monkeypatch.setattr(packing, "LONGEST_KNOWN", 6)
+    words, rng = packing.WordTokenizer(VOCABULARY), random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choice("aBé'.!*_<|>1 İſ\u0301") for _ in range(rng.randrange(30)))
+        whole = [*words.tokenizer.encode(text, add_special_tokens=False).ids, packing.END]
+        assert words.ids(text) == struct.pack(f"<{len(whole)}I", *whole)
+    assert len(words.once) <= 3 and len(words.known) <= 3
