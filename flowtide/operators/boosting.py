@@ -254,6 +254,11 @@ class _Forest:
         self.stored = 0  # trees of every model that ``raw`` holds
         self.open: dict[int, list[int]] = {}  # of the tree that grows: nodes to be split
 
+    def __getstate__(self) -> dict:
+        """Tasks get only trees that the stored predictions lack, so what a level sends does not grow with the rounds."""
+        trees = [[None] * min(self.stored, len(own)) + own[self.stored :] for own in self.trees]
+        return self.__dict__ | {"trees": trees}
+
     def cells(self, model: int) -> int:
         """The most sums that a level of the model has."""
         return len(self.open[model]) * len(self.inputs.names) * self.inputs.width

@@ -1,5 +1,6 @@
 """Boosted trees against trees grown row by row in plain Python."""
 
+import pickle
 import random
 
 import numpy as np
@@ -235,3 +236,22 @@ def _folds_by_time(df, folds):
     """Two halves by time, as ordered_folds makes them of rows without ties."""
     middle = df.selectExpr("timestampadd(MINUTE, 200, min(time)) AS m").first()["m"]
     return df.withColumn("fold", (F.col("time") >= F.lit(middle)).cast("int"))
+
+
+def test_tasks_get_no_trees_that_are_stored():
+    inputs = boosting.Inputs(("a",), (tuple(map(float, range(200))),), (None,))
+    sizes = []
+    for stored in (0, 50):
+        forest = boosting._Forest([boosting.Setting()], [0.0], inputs)
+        for k in range(stored + 2):
+            tree = boosting.Tree.root(inputs.width)
+            tree.value[0] = k
+            forest.trees[0].append(tree)
+        forest.stored = stored
+        sent = pickle.dumps(forest)
+        sizes.append(len(sent))
+        x, raw = np.zeros((3, 1), np.int32), np.ones((3, 1))
+        found = pickle.loads(sent).predicted(0, x, raw, stored + 2)
+        assert found.tolist() == forest.predicted(0, x, raw, stored + 2).tolist()
+        assert len(forest.trees[0]) == stored + 2 and None not in forest.trees[0]
+    assert sizes[1] < sizes[0] + 200
